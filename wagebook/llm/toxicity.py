@@ -19,9 +19,9 @@ EDGES = ".,;:!?\"'()[]{}<>|*#$%&+-_/\\~^=@`"
 
 
 def features(text: str | None) -> set[str]:
-    """Distinct words of the whole text in lower case, and the first five letters of longer ones."""
+    """Distinct words of the whole text in lower case, and the first three, four and five letters of longer ones."""
     out = {w.strip(EDGES) for w in set((text or "").lower().split())}
-    out |= {w[:5] + "*" for w in out if len(w) > 5}
+    out |= {w[:k] + "*" for w in out for k in (3, 4, 5) if len(w) > k}
     out.discard("")
     return out
 
@@ -63,7 +63,8 @@ class NonNegativePU:
 def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_unlabelled: int = 8000, size: int = 2000, least: int = 3) -> tuple[dict[str, float], float] | None:
     """(feature weights, bias), or None where no row is confirmed toxic.
 
-    Samples are bounded (max_positive, max_unlabelled; by hash of id) and never hold held-out rows. Features: the size
+    Samples are bounded (max_positive, max_unlabelled; by hash of id) and never hold held-out rows. The unlabelled one is
+    drawn from all other text, confirmed toxic or not, as the risk estimator has it. Features: the size
     ones in least positives at least that tell positives from unlabelled text best. The class prior is the toxic share of
     labelled rows outside the held-out ones.
     """
@@ -75,7 +76,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_unlabe
     order = F.xxhash64(F.lit("fit"), "doc_id")
     sure = known.where("toxic = 1").orderBy(order).limit(max_positive).select("doc_id", F.lit(True).alias("positive"))
     rest = docs.select("doc_id").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
-    rest = rest.join(known.where("toxic = 1"), "doc_id", "left_anti").orderBy(order).limit(max_unlabelled).select("doc_id", F.lit(False).alias("positive"))
+    rest = rest.orderBy(order).limit(max_unlabelled).select("doc_id", F.lit(False).alias("positive"))
     sample = docs.select("doc_id", "text").join(F.broadcast(sure.unionByName(rest)), "doc_id").select("text", "positive")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
