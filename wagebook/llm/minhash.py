@@ -186,20 +186,23 @@ def class_components(docs: DataFrame, classes: DataFrame, shingle_words: int, pe
 def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes (c, comp, n, bits) from different components that share a shingle of their prefixes.
 
-    A set's prefix are its n - ceil(n * percent / 100) + 1 rarest shingles, in one order over all nodes. For each
-    shingle, the component with most nodes is not paired with itself.
+    A set's prefix are its n - ceil(n * percent / 100) + 1 rarest shingles, in one order over all nodes. At the first
+    shingle that two sets share, what is left of the shorter rest bounds their overlap, so a pair leaves the join only
+    where that bound still reaches percent. For each shingle, the component with most nodes is not paired with itself.
     """
     tokens = nodes.join(sets, "c").select("c", "n", F.explode("shingles").alias("s"))
     rare = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
     length = (F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1).cast("int")
     prefix = tokens.join(rare.where("df > 1"), "s", "left").groupBy("c", "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "s"))).alias("all"))
-    prefix = prefix.select("c", F.explode(F.slice("all", F.lit(1), length)).alias("x")).where("x.df > 1").select("c", F.col("x.s").alias("s"))
+    prefix = prefix.select("c", F.posexplode(F.slice("all", F.lit(1), length)).alias("at", "x")).where("x.df > 1").select("c", "at", F.col("x.s").alias("s"))
     rows = written(prefix.join(nodes, "c"))
     counts = rows.groupBy("s", "comp").agg(F.count(F.lit(1)).alias("k"))
     tops = written(counts.groupBy("s").agg(F.max_by("comp", F.struct("k", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("s", "top"))
     shared = written(rows.join(tops, "s"))
-    few = shared.where("comp <> top").select("s", *[F.col(c).alias(f"{c}1") for c in ("c", "comp", "n", "bits")])
+    few = shared.where("comp <> top").select("s", *[F.col(c).alias(f"{c}1") for c in ("c", "comp", "n", "bits", "at")])
     pairs = few.join(shared, "s").where((F.col("comp1") != F.col("comp")) & ((F.col("comp") == F.col("top")) | (F.col("c1") < F.col("c"))))
+    bound = F.least(F.col("n1") - F.col("at1"), F.col("n") - F.col("at"))
+    pairs = pairs.where(bound * (100 + percent) >= (F.col("n1") + F.col("n")) * percent)
     pairs = pairs.where(_near(F.col("n1"), F.col("n"), F.col("bits1"), F.col("bits"), percent))
     return pairs.select(F.greatest("c1", "c").alias("a"), F.least("c1", "c").alias("b")).distinct()
 
