@@ -21,16 +21,12 @@ def cf_format(cf: Column) -> Column:
 
 def cf_check_letter(first15: Column) -> Column:
     """Check letter for the first fifteen characters, or null where one is neither a digit nor A-Z."""
-    def value(i: int) -> Column:
-        at = F.ascii(F.substring(first15, i, 1))
-        number = F.when(at >= 65, at - 65).otherwise(at - 48)
-        if i % 2 == 0:
-            return number
-        return F.get(F.lit(CF_ODD), F.when(at >= 65, at - 55).otherwise(at - 48))
-
-    total = value(1)
-    for i in range(2, 16):
-        total = total + value(i)
+    # Each character becomes the letter of its value, A for 0; all 36 have one at odd and at even places.
+    odd = F.translate(first15, SYMBOLS, "".join(chr(65 + v) for v in CF_ODD))
+    even = F.translate(first15, SYMBOLS, "".join(chr(65 + (i if i < 10 else i - 10)) for i in range(36)))
+    total = F.lit(-15 * 65)
+    for i in range(1, 16):
+        total = total + F.ascii(F.substring(odd if i % 2 else even, i, 1))
     return F.when(first15.rlike("^[0-9A-Z]{15}$"), F.substring(F.lit(SYMBOLS), 11 + total % 26, F.lit(1)))
 
 

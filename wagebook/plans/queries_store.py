@@ -14,6 +14,7 @@ from wagebook.plans import common as K
 from wagebook.plans import process
 from wagebook.plans.common import WITH, edge, mod97, table
 from wagebook.sources import bundle as B
+from wagebook.sources.files import new_folder, stored
 
 QUERIES: dict[str, tuple] = {}
 
@@ -27,20 +28,20 @@ def add(name: str, sql: str | None = None, head: str = WITH):
 
 
 def slips(s, d):
-    """Payslip facts as parsing gives them, made from the tables: input of rules and reports."""
+    """Payslip facts as parsing gives them, made from the tables and stored: input of rules and reports."""
     x = K.render.slip_lines(s, d).groupBy("doc_id").agg(F.sum(F.when(F.col("flag") != "R", F.col("amount")).otherwise(0)).cast("decimal(14,5)").alias("e"), F.sum(F.when(F.col("flag") == "R", F.col("amount")).otherwise(0)).cast("decimal(14,5)").alias("t"), F.count(F.lit(1)).alias("n_lines"))
-    x = K.render.slips(s, d).join(x, "doc_id").withColumn("first15", K.render.first15(F.col("cust")))
+    x = K.render.with_fiscal_code(K.render.slips(s, d).join(x, "doc_id"))
     k = F.col("k")
-    cf = K.render.fiscal_code(F.col("first15"), k)
+    cf = F.col("cf")
     net = F.when(k % 13 != 0, (F.abs(F.col("e") - F.col("t")) + F.when(k % 19 == 0, F.lit("2").cast("decimal(14,5)")).otherwise(F.lit("0").cast("decimal(14,5)"))).cast("decimal(14,5)"))
-    return x.select(
+    return stored(x.select(
         "doc_id", "k", "n_lines", "cust", "nat", F.element_at(F.array(F.lit("z"), F.lit("c"), F.lit("s")), (F.col("layout") + 1).cast("int")).alias("template"), F.lit("1.0.0").alias("parser_version"),
         F.when(k % 11 == 0, "").otherwise(cf).alias("codice_fiscale"), cf.alias("cf_original"), (k % 11 == 0).alias("cf_invalid"), F.when(k % 23 == 0, "").otherwise(F.concat(F.lit("N"), "nat")).alias("ragione_sociale"),
         F.lit(None).cast("string").alias("codice_azienda"), F.when(k % 29 == 0, 0).otherwise(F.col("mese")).cast("int").alias("mese"), F.col("anno").cast("int").alias("anno"), F.lit("ordinario").alias("tipo"), F.lit("").alias("label"),
         F.lit("31-11-2020").alias("hire_text"), F.when(k % 5 != 0, F.lit("2020-03-15").cast("date")).alias("hire_date"), (k % 31 == 0).alias("recovered"), F.col("e").alias("totale_competenze"), F.col("t").alias("totale_trattenute"), net.alias("netto_mese"),
         F.when(k % 37 != 0, K.render.iban(F.col("cust"))).alias("iban"), K.render.iban(F.col("cust")).alias("iban_original"), (k % 41 == 0).alias("repaired"), F.concat(F.lit("Rossi "), "cust").alias("cognome_nome"),
         F.sha2(F.col("doc_id").cast("binary"), 256).alias("sha256"), F.concat("doc_id", F.lit(".pdf")).alias("filename"), F.lit("2024-01-01").cast("timestamp").alias("run_ts"),
-    )
+    ))
 
 
 D3 = "['z', 'c', 's'][layout + 1]"
@@ -321,15 +322,9 @@ def model_tables(s, d):
     return {"employee": S.upsert_employee(empty(s, "employee"), docs), "payroll_period": S.upsert_period(empty(s, "payroll_period"), docs), "payroll_document": fact, "payroll_totals": totals}
 
 
-def shared(s):
-    from wagebook.sources.files import new_folder
-
-    return new_folder(s)
-
-
 @add("a3_a5_export_import", "SELECT CAST(count(*) AS BIGINT) AS n, round(sum(earn), 2) AS competenze, round(sum(net), 2) AS netto, CAST(count(*) FILTER (WHERE k % 37 = 0) AS BIGINT) AS no_iban FROM d")
 def a3(s, d):
-    t = B.import_bundle(s, B.export_bundle(model_tables(s, d), shared(s), AT))["payroll_totals"]
+    t = B.import_bundle(s, B.export_bundle(model_tables(s, d), new_folder(s), AT))["payroll_totals"]
     return t.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("totale_competenze").cast("double"), 2).alias("competenze"), F.round(F.sum("netto_mese").cast("double"), 2).alias("netto"), F.count_if(F.col("iban").isNull()).alias("no_iban"))
 
 

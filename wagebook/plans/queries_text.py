@@ -110,8 +110,7 @@ F15 = "'RSSMRA' || lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0') || 'A' || lpad
 @add("b10_fiscal_code", f"""WITH f AS (SELECT c_custkey, {F15} AS f FROM customer), g AS (SELECT *, {cf_letter('f')} AS letter FROM f)
 SELECT c_custkey, f || CASE WHEN c_custkey % 11 = 0 THEN translate(letter, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'BCDEFGHIJKLMNOPQRSTUVWXYZA') ELSE letter END AS cf, true AS format_ok, c_custkey % 11 <> 0 AS check_ok FROM g""")
 def b10(s, d):
-    c = table(s, d, "customer").withColumn("first15", K.render.first15(F.col("c_custkey")))
-    c = c.select("c_custkey", K.render.fiscal_code(F.col("first15"), F.col("c_custkey")).alias("cf"))
+    c = K.render.with_fiscal_code(table(s, d, "customer"), "c_custkey", "c_custkey")
     return c.select("c_custkey", "cf", I.cf_format(F.col("cf")).alias("format_ok"), I.cf_checksum_valid(F.col("cf")).alias("check_ok"))
 
 

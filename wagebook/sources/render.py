@@ -61,11 +61,14 @@ def first15(cust: Column) -> Column:
     return F.concat(F.lit("RSSMRA"), F.lpad((cust % 100).cast("string"), 2, "0"), F.lit("A"), tens, F.lit("H501"))
 
 
-def fiscal_code(first: Column, k: Column) -> Column:
-    """first with its check letter, which for order numbers divisible by 11 is one further and so wrong."""
-    letter = cf_check_letter(first)
-    wrong = F.translate(letter, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "BCDEFGHIJKLMNOPQRSTUVWXYZA")
-    return F.concat(first, F.when(k % 11 == 0, wrong).otherwise(letter))
+def with_fiscal_code(df: DataFrame, cust: str = "cust", k: str = "k") -> DataFrame:
+    """df with cf, whose check letter is one further and so wrong for order numbers divisible by 11.
+
+    In steps of one column each: the letter reads the first fifteen characters many times.
+    """
+    df = df.withColumn("first15", first15(F.col(cust))).withColumn("letter", cf_check_letter(F.col("first15")))
+    wrong = F.translate("letter", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "BCDEFGHIJKLMNOPQRSTUVWXYZA")
+    return df.withColumn("cf", F.concat("first15", F.when(F.col(k) % 11 == 0, wrong).otherwise(F.col("letter"))))
 
 
 def iban(cust: Column) -> Column:
@@ -117,8 +120,8 @@ def words(spark: SparkSession, sf_dir: str, layout_no: int | None = None) -> Dat
     part = lambda of: F.sum(F.when(of, F.col("amount")).otherwise(0))
     per = lines.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("n", "code", "flag", "qty", "amount"))).alias("ls"), part(F.col("flag") != "R").alias("e"), part(F.col("flag") == "R").alias("d"))
     k = F.col("k")
-    d = d.join(per, "doc_id").withColumn("first15", first15(F.col("cust"))).select(
-        "doc_id", "k", "layout", "ls", "cust", "nat", fiscal_code(F.col("first15"), k).alias("cf"), iban(F.col("cust")).alias("acct"), F.initcap(F.element_at(F.lit(MONTHS), F.col("mese"))).alias("month"), F.col("anno").cast("string").alias("year"),
+    d = with_fiscal_code(d.join(per, "doc_id")).select(
+        "doc_id", "k", "layout", "ls", "cust", "nat", "cf", iban(F.col("cust")).alias("acct"), F.initcap(F.element_at(F.lit(MONTHS), F.col("mese"))).alias("month"), F.col("anno").cast("string").alias("year"),
         F.lpad(F.col("nat").cast("string"), 2, "0").alias("nat2"), italian(F.abs(F.col("e") - F.col("d")) + F.when(k % 19 == 0, 2.0).otherwise(0.0)).alias("net"), italian(F.col("e")).alias("earn"), italian(F.col("d")).alias("deduct"), (F.size("ls") * 10.0).alias("h"),
     )
     of_flag = lambda x, m: f"CASE {x}.flag WHEN 'R' THEN '{m['R']}' WHEN 'A' THEN '{m['A']}' ELSE '{m['N']}' END"
