@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Confirmed toxic documents are the positives; all other text is unlabelled. A linear numpy model over words and word
-beginnings minimises the positive-unlabelled risk with sigmoid loss. The negative part of the risk,
+beginnings minimises the positive-unlabelled risk with logistic loss. The negative part of the risk,
 R_u(-) - prior * R_p(-), is kept from going under zero: where it does, the step goes up it instead.
 """
 
@@ -32,9 +32,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 class NonNegativePU:
-    """weights: feature -> weight; bias."""
+    """w: weight of each feature; bias. Weights are held back by decay, shared among the positives."""
 
-    def __init__(self, prior: float, rounds: int = 300, rate: float = 0.05, decay: float = 1e-4):
+    def __init__(self, prior: float, rounds: int = 200, rate: float = 0.05, decay: float = 0.3):
         self.prior, self.rounds, self.rate, self.decay = prior, rounds, rate, decay
 
     def fit(self, rows: list[np.ndarray], positive: np.ndarray, size: int) -> NonNegativePU:
@@ -43,16 +43,16 @@ class NonNegativePU:
         doc = np.repeat(np.arange(len(rows)), np.diff(starts))
         up = positive / max(1, positive.sum())
         un = (~positive) / max(1, (~positive).sum())
-        w, b, t = np.zeros(size), 0.0, 0
+        w, b, decay = np.zeros(size), 0.0, self.decay / max(1, positive.sum())
         m, v = np.zeros(size + 1), np.zeros(size + 1)
         for t in range(1, self.rounds + 1):
             g = np.bincount(doc, weights=w[flat], minlength=len(rows)) + b
             s = 1 / (1 + np.exp(-np.clip(g, -30, 30)))
-            slope = s * (1 - s)
-            negative = un @ s - self.prior * (up @ s)
-            d_neg = (un - self.prior * up) * slope
-            d = -d_neg if negative < 0 else d_neg - self.prior * up * slope
-            grad = np.append(np.bincount(flat, weights=d[doc], minlength=size) + self.decay * w, d.sum())
+            as_negative = np.logaddexp(0, g)
+            negative = un @ as_negative - self.prior * (up @ as_negative)
+            d_neg = (un - self.prior * up) * s
+            d = -d_neg if negative < 0 else d_neg - self.prior * up * (1 - s)
+            grad = np.append(np.bincount(flat, weights=d[doc], minlength=size) + decay * w, d.sum())
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
             step = self.rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
             w, b = w - step[:-1], b - step[-1]
