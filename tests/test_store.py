@@ -124,7 +124,7 @@ def test_bundle(spark):
     raw = spark.read.text(f"{path}/payroll_totals").first()[0]
     assert '"netto_mese":"1234.56789"' in raw and '"iban":null' in raw
     back = B.import_bundle(spark, path)
-    assert list(back) == ["payroll_period", "payroll_totals"] and back["payroll_totals"].schema == totals.schema
+    assert list(back) == ["payroll_period", "payroll_totals"] and back["payroll_totals"].dtypes == totals.dtypes
     assert str(back["payroll_totals"].first()["netto_mese"]) == "1234.56789"
     assert B.reconcile_counts(B.table_counts(back), B.table_counts({"payroll_period": periods, "payroll_totals": totals})).count() == 0
     off = B.reconcile_counts(B.table_counts(back), B.table_counts({"payroll_period": periods.where("false")})).collect()
