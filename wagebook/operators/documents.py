@@ -81,18 +81,36 @@ def default_registry() -> list[TemplateProfile]:
     return [TemplateProfile("z", "1.0.0", detect_z()), TemplateProfile("c", "1.0.0", detect_c()), TemplateProfile("s", "1.0.0", s[0], s[1:])]
 
 
-def find_template(rows: DataFrame, registry: list[TemplateProfile] | None = None) -> DataFrame:
-    """doc_id, template, parser_version: the first layout of the registry that fits, else unknown and 0.0.0."""
-    registry = registry or default_registry() + REGISTRY
-    flags = {f"_{i}": p.found for i, p in enumerate(registry)} | {f"_{i}_{j}": e for i, p in enumerate(registry) for j, e in enumerate(p.every)}
-    per = rows.groupBy("doc_id").agg(*[F.coalesce(F.bool_or(c & (F.col("page") == 1)), F.lit(False)).alias(k) for k, c in flags.items()])
+def _flags(registry: list[TemplateProfile]) -> dict[str, Column]:
+    """Whether any row of a document's first page meets each condition of the registry; to be aggregated or windowed."""
+    conditions = {f"_{i}": p.found for i, p in enumerate(registry)} | {f"_{i}_{j}": e for i, p in enumerate(registry) for j, e in enumerate(p.every)}
+    return {k: F.bool_or(c & (F.col("page") == 1)) for k, c in conditions.items()}
+
+
+def _recognised(registry: list[TemplateProfile]) -> dict[str, Column]:
     name, version = F.lit("unknown"), F.lit("0.0.0")
     for i, p in reversed(list(enumerate(registry))):
         hit = F.col(f"_{i}")
         for j in range(len(p.every)):
             hit = hit & F.col(f"_{i}_{j}")
         name, version = F.when(hit, p.name).otherwise(name), F.when(hit, p.version).otherwise(version)
-    return per.select("doc_id", name.alias("template"), version.alias("parser_version"))
+    return {"template": name, "parser_version": version}
+
+
+def find_template(rows: DataFrame, registry: list[TemplateProfile] | None = None) -> DataFrame:
+    """doc_id, template, parser_version: the first layout of the registry that fits, else unknown and 0.0.0."""
+    registry = registry or default_registry() + REGISTRY
+    per = rows.groupBy("doc_id").agg(*[F.coalesce(c, F.lit(False)).alias(k) for k, c in _flags(registry).items()])
+    return per.select("doc_id", *[c.alias(k) for k, c in _recognised(registry).items()])
+
+
+def with_template(rows: DataFrame, registry: list[TemplateProfile] | None = None) -> DataFrame:
+    """rows with template and parser_version of their document, as find_template has them; numbered rows are already
+    exchanged by doc_id, so this needs no further one."""
+    registry = registry or default_registry() + REGISTRY
+    w = Window.partitionBy("doc_id")
+    flags = {k: F.coalesce(c.over(w), F.lit(False)) for k, c in _flags(registry).items()}
+    return rows.withColumns(flags).withColumns(_recognised(registry)).drop(*flags)
 
 
 # Headers

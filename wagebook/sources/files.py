@@ -18,8 +18,11 @@ def new_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The rows of df as a table in a shared folder: written once, read by all that follows, safe against lost executors."""
+def stored(df: DataFrame, by: str | None = None) -> DataFrame:
+    """The rows of df as a table in a shared folder: written once, read by all that follows, safe against lost executors.
+
+    by: a column of few values, one folder for each, so that a filter on it reads only what it needs.
+    """
     path = new_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
