@@ -240,6 +240,19 @@ def test_multiset_is_homomorphic():
     assert 0.3 < multiset.likeness(multiset.fingerprint(long), multiset.fingerprint(half)) < 0.9
 
 
+def test_multiset_likeness_of_repeated_lines():
+    line, other = "the same line over and over\n", "another one\n"
+    a, b = (multiset.fingerprint(line * n + other * 10) for n in (130000, 120000))
+    assert multiset.likeness(a, b) > 0.999
+    assert multiset.likeness(a, multiset.fingerprint(other * 130000)) < 0.5
+    words = "ab cd " * 90000
+    assert multiset.likeness(multiset.fingerprint(words), multiset.fingerprint(words[:270000])) > 0.999
+    assert np.array_equal(multiset.remove(multiset.add(a, b), b), a)
+    raw = base64.b64decode(multiset.written(a))
+    assert len(raw) == 2 * multiset.HASH_LANES + 4 * multiset.SKETCH_LANES
+    assert np.abs(np.frombuffer(raw[2 * multiset.HASH_LANES :], dtype="<i4")).max() >= 130000
+
+
 def test_sharding(spark, docs, rows, empty):
     got = sharding.query(spark, docs).collect()
     assert sorted(r["doc_id"] for r in got) == sorted(r[0] for r in rows)

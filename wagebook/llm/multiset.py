@@ -1,7 +1,7 @@
 """Document fingerprints by a homomorphic multiset hash.
 
-Each paragraph (line) is hashed to a wide vector; a text's fingerprint is the sum of its paragraphs' vectors modulo 2**16
-in each lane. So the order of paragraphs does not matter, and a paragraph is put in or taken out by adding or subtracting
+Each paragraph (line) is hashed to a wide vector; a text's fingerprint is the sum of its paragraphs' vectors, modulo 2**16
+in each hash lane and 2**32 in each sketch lane: a text that Spark can hold has under 2**31 runs, so its counts never wrap. So the order of paragraphs does not matter, and a paragraph is put in or taken out by adding or subtracting
 its vector. The first lanes are uniform (SHAKE-128) and make equality strict; the others are a signed count sketch of the
 paragraph's character runs, linear too, whose cosine estimates how much of two texts is the same.
 """
@@ -43,7 +43,7 @@ def _sketch(codes: np.ndarray) -> np.ndarray:
 
 
 def fingerprint(text: str) -> np.ndarray:
-    """Vector of HASH_LANES + SKETCH_LANES numbers of 16 bits."""
+    """Vector of HASH_LANES numbers of 16 bits and SKETCH_LANES signed counts of 32 bits, held as unsigned numbers of 32."""
     lines = text.split("\n")
     sums = np.zeros(HASH_LANES, dtype=np.uint64)
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -55,30 +55,36 @@ def fingerprint(text: str) -> np.ndarray:
         if 0 < len(x) < RUN:
             h = int.from_bytes(hashlib.shake_128(x.encode("utf-8", "surrogatepass")).digest(4), "little")
             sketch[(h >> 1) % SKETCH_LANES] += 1 if h & 1 else -1
-    return np.concatenate([sums, sketch.astype(np.uint64)]).astype(np.uint16)
+    return _held(np.concatenate([sums, sketch.astype(np.uint64)]))
+
+
+def _held(v: np.ndarray) -> np.ndarray:
+    v = v.astype(np.uint32)
+    v[:HASH_LANES] &= 0xFFFF
+    return v
 
 
 def add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Fingerprint of both texts' paragraphs together."""
-    return (a + b).astype(np.uint16)
+    return _held(a + b)
 
 
 def remove(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Fingerprint of a's paragraphs without b's."""
-    return (a - b).astype(np.uint16)
+    return _held(a - b)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """0 to 1: 1 for equal fingerprints, else the sketches' cosine, at least 0. Sketches without any run: 0."""
     if np.array_equal(a, b):
         return 1.0
-    x, y = a[HASH_LANES:].astype(np.int16).astype(float), b[HASH_LANES:].astype(np.int16).astype(float)
+    x, y = a[HASH_LANES:].astype(np.int32).astype(float), b[HASH_LANES:].astype(np.int32).astype(float)
     d = float(np.sqrt((x @ x) * (y @ y)))
     return min(1.0, max(0.0, float(x @ y) / d)) if d else 0.0
 
 
 def written(v: np.ndarray) -> str:
-    return base64.b64encode(v.astype("<u2").tobytes()).decode()
+    return base64.b64encode(v[:HASH_LANES].astype("<u2").tobytes() + v[HASH_LANES:].astype("<u4").tobytes()).decode()
 
 
 def dealt_by_id(docs: DataFrame, parts: int, buckets: int = 1 << 16) -> DataFrame:
