@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wagebook import schemas
@@ -163,6 +165,15 @@ def process_documents(s, d):
     return p.docs.join(st, "doc_id").join(n, "doc_id", "left").join(p.totals.select("doc_id", "netto_mese"), "doc_id", "left").select("doc_id", "template", "mese", "anno", "codice_fiscale", "n_lines", "netto_mese", "status")
 
 
+@add("process_model")
+def process_model(s, d):
+    """From positioned words to the tables of the model: each is written, and all of its rows are given as JSON."""
+    p = parsed(s, d)
+    tables = process.model(p, stored(process.anomalies(p)), "run", "2024-01-01")
+    one = lambda t: stored(tables[t]).select(F.lit(t).alias("table"), "id", F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"))
+    return reduce(DataFrame.unionByName, [one(t) for t in schemas.TABLES])
+
+
 # Store: documents as files, their hash the key
 
 
