@@ -9,6 +9,7 @@ from wagebook import schemas
 from wagebook.operators import quality as Q
 from wagebook.operators import reports as R
 from wagebook.operators import store as S
+from wagebook.plans import queries_store
 from wagebook.sources import bundle as B
 from wagebook.sources.files import new_folder
 
@@ -136,3 +137,13 @@ def test_ingest(spark, tmp_path):
     (tmp_path / "b.PDF").write_bytes(b"x")
     got = B.ingest_files(spark, f"file://{tmp_path}").collect()
     assert [r["filename"] for r in got] == ["a.pdf"] and got[0]["sha256"].startswith("6c872dc1")
+
+
+def test_raw_extraction_by_document(spark, tmp_path):
+    texts = ["one\n\n\ntwo", "", "x", "a\nb\n"]
+    doc = spark.createDataFrame([(i, t, "A" if i < 3 else "B") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    doc.write.parquet(f"file://{tmp_path}/documents.parquet")
+    raw = {r["doc_id"]: r for r in queries_store.raw_by_line(doc.withColumn("doc_id", F.col("doc_id").cast("string"))).collect()}
+    assert {i: r["full_text"] for i, r in raw.items()} == {str(i): t.replace("\n", "\n\n") for i, t in enumerate(texts)}
+    got = {tuple(r) for r in queries_store.a2(spark, f"file://{tmp_path}").collect()}
+    assert got == {("A", 9 + 0 + 1 + 4, 3, 0), ("B", 4, 1, 0)}

@@ -315,11 +315,20 @@ def p14(s, d):
 
 @add("a2_raw_extraction", "SELECT source AS doc_id, CAST(sum(length(text)) + 2 * (count(*) - 1) AS BIGINT) AS n_chars, count(*) AS n_words, CAST(0 AS BIGINT) AS n_unmapped FROM documents GROUP BY source", "")
 def a2(s, d):
-    doc = table(s, d, "documents")
-    pages = doc.select(F.col("source").alias("doc_id"), F.col("doc_id").alias("page"), F.col("text").alias("full_text"))
-    words = doc.select(F.col("source").alias("doc_id"), F.col("doc_id").alias("page"), F.lit(0).alias("seq"), F.lit("w").alias("text"), *[F.lit(1.0).alias(c) for c in ("x0", "x1", "top", "bottom")])
-    r = B.raw_extraction(pages, words, pages.select("doc_id", F.array("full_text").alias("texts")).where("false"))
-    return r.select("doc_id", F.length("full_text").alias("n_chars"), F.size("words").alias("n_words"), F.size("unrecognized_rows").alias("n_unmapped"))
+    """Each document is a payslip and its lines are the pages; what the extractions hold is then summed by source."""
+    doc = stored(table(s, d, "documents").select(F.monotonically_increasing_id().cast("string").alias("doc_id"), "source", "text"))
+    r = raw_by_line(doc).join(doc.select("doc_id", "source"), "doc_id")
+    # Two line feeds part the pages, so each pair is one line feed of the text.
+    n = F.count(F.lit(1))
+    chars = F.sum(F.length(F.replace("full_text", F.lit("\n\n"), F.lit("\n")))) + 2 * (n - 1)
+    return r.groupBy(F.col("source").alias("doc_id")).agg(chars.alias("n_chars"), F.sum(F.size("words")).alias("n_words"), F.sum(F.size("unrecognized_rows")).alias("n_unmapped"))
+
+
+def raw_by_line(doc):
+    """Raw extractions of doc (doc_id, text), a page for each line of text and one word for each document."""
+    pages = doc.select("doc_id", F.posexplode_outer(F.split("text", "\n", -1)).alias("page", "full_text"))
+    words = doc.select("doc_id", F.lit(0).alias("page"), F.lit(0).alias("seq"), F.lit("w").alias("text"), *[F.lit(1.0).alias(c) for c in ("x0", "x1", "top", "bottom")])
+    return B.raw_extraction(pages, words, pages.select("doc_id", F.array("full_text").alias("texts")).where("false"))
 
 
 AT = datetime(2025, 7, 15, 10, 30)
