@@ -163,8 +163,8 @@ def header_c(rows: DataFrame) -> DataFrame:
     p, cf, date = r"^ATS/\s*(\d+)\s*/\s*([A-Z]{2})\s+(.+)$", f"({I.CF_PATTERN})", r"(\d{1,2}/\d{1,2}/\d{4})"
     first = F.get("words", F.lit(0))["text"]
     names = F.transform("words", lambda w: w["text"].rlike("^[A-ZÀ-Ü']+$"))
-    run = F.array_position(F.slice(names, 2, 1000), False).cast("int")
-    name = X.text_of(F.when(run > 0, F.slice("words", F.lit(2), run - 1)).otherwise(F.slice("words", 2, 1000)))
+    run = F.array_position(F.slice(names, F.lit(2), F.size(names)), False).cast("int")
+    name = X.text_of(F.when(run > 0, F.slice("words", F.lit(2), run - 1)).otherwise(F.slice("words", F.lit(2), F.size("words"))))
     company, person, coded = F.col("text").rlike(p), F.coalesce(first.rlike(r"^\d+/\d+$"), F.lit(False)), F.col("compact").rlike(cf)
     dates = F.regexp_extract_all(F.col("compact"), F.lit(date), 1)
     r = rows.where((F.col("page") == 1) & (F.col("top") < 150))
@@ -317,9 +317,9 @@ def attach_notes(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _described(rows: DataFrame, code: str, edge: float) -> DataFrame:
     """Rows with d (description words: those before the first at edge or right of it) and v, the words from there."""
-    cut = F.array_position(F.transform(F.slice("words", 2, 1000), lambda w: w["x0"] >= edge), True).cast("int")
-    rest = F.slice("words", 2, 1000)
-    r = rows.withColumns({"d": F.when(cut > 0, F.slice(rest, F.lit(1), cut - 1)).otherwise(rest), "v": F.when(cut > 0, F.slice(rest, cut, F.lit(1000))).otherwise(F.slice(rest, 1, 0)), "c0": F.get("words", F.lit(0))["text"]})
+    cut = F.array_position(F.transform(F.slice("words", F.lit(2), F.size("words")), lambda w: w["x0"] >= edge), True).cast("int")
+    rest = F.slice("words", F.lit(2), F.size("words"))
+    r = rows.withColumns({"d": F.when(cut > 0, F.slice(rest, F.lit(1), cut - 1)).otherwise(rest), "v": F.when(cut > 0, F.slice(rest, cut, F.size(rest))).otherwise(F.slice(rest, 1, 0)), "c0": F.get("words", F.lit(0))["text"]})
     r = r.withColumn("descrizione", F.trim(X.text_of(F.col("d"))))
     return r.withColumn("is_line", F.coalesce(F.col("c0").rlike(code) & (F.col("descrizione") != ""), F.lit(False)))
 
@@ -400,7 +400,7 @@ def tax_z(rows: DataFrame) -> DataFrame:
 def tax_c(rows: DataFrame) -> DataFrame:
     """By the code that opens a row; the last row of a code counts, with or without amount."""
     w0, w1 = F.get("words", F.lit(0))["text"], F.get("words", F.lit(1))["text"]
-    after = lambda k: X.first_amount(F.slice("words", k, 1000))
+    after = lambda k: X.first_amount(F.slice("words", F.lit(k), F.size("words")))
     cvl, ac = w0.rlike(r"(?i)^CvL\d{3}$"), F.coalesce(F.upper(w1) == "AC", F.lit(False))
     def last(value: Column, cond: Column) -> Column:
         return F.max_by(value, F.when(cond, F.col("doc_row")))
@@ -431,14 +431,14 @@ def tax_s(rows: DataFrame) -> DataFrame:
     stop = F.min(F.when(has("Descrizione Imponibile Fiscale") & (F.col("doc_row") > F.col("b")), F.col("doc_row"))).over(Window.partitionBy("doc_id"))
     r = r.withColumn("e", stop).withColumn("in_add", (F.col("doc_row") > F.col("b")) & (F.col("e").isNull() | (F.col("doc_row") < F.col("e"))) & (F.size("words") > 0))
     coded = F.col("in_add") & F.get("words", F.lit(0))["text"].rlike("^[A-Z0-9]{2,8}$") & (F.size("words") > 1)
-    said = X.normalize_label(X.text_of(F.slice("words", 2, 1000)))
+    said = X.normalize_label(X.text_of(F.slice("words", F.lit(2), F.size("words"))))
     kind = F.when(coded & said.contains("addizionaleregionale"), "r").when(coded & said.contains("addizionalecomunale"), "c").when(coded, "o")
     r = r.withColumn("kind", kind)
     # What a one-word row continues: the last coded row, if no one-word row came between.
     event = F.coalesce("kind", F.when(F.col("in_add") & (F.size("words") == 1), "w"))
     r = r.withColumn("event", event)
     r = r.withColumn("before", F.last("event", ignorenulls=True).over(in_doc().rowsBetween(Window.unboundedPreceding, -1)))
-    amt = X.first_amount(F.slice("words", 2, 1000))
+    amt = X.first_amount(F.slice("words", F.lit(2), F.size("words")))
     region = (F.col("event") == "w") & (F.col("before") == "r")
     emo = F.lower("text").contains("emolumenti") & F.lower("text").contains("correnti")
     out = r.groupBy("doc_id").agg(
@@ -503,7 +503,7 @@ def leave_z(rows: DataFrame) -> DataFrame:
     r = rows.withColumn("h", F.min(F.when(head, F.col("doc_row"))).over(Window.partitionBy("doc_id"))).where("doc_row > h and doc_row <= h + 6")
     r = r.withColumn("l", F.filter("words", lambda w: w["x0"] < 400)).where((F.size("l") > 0) & (F.get("l", F.lit(0))["x0"] < 100))
     cut = F.array_position(F.transform("l", X.is_data), True).cast("int")
-    r = r.withColumn("cut", cut).where("cut > 1").withColumns({"tipo": F.trim(X.text_of(F.slice("l", F.lit(1), F.col("cut") - 1))), "v": X.amounts(F.slice("l", F.col("cut"), F.lit(1000)))})
+    r = r.withColumn("cut", cut).where("cut > 1").withColumns({"tipo": F.trim(X.text_of(F.slice("l", F.lit(1), F.col("cut") - 1))), "v": X.amounts(F.slice("l", F.col("cut"), F.size("l")))})
     r = r.where((F.col("tipo") != "") & (F.size("v") > 0))
     return r.select("doc_id", "doc_row", "tipo", *[F.get("v", F.lit(k))["amt"].alias(n) for k, n in enumerate(("maturato", "goduto", "residuo", "residuo_ap"))])
 
@@ -512,7 +512,7 @@ def leave_c(rows: DataFrame) -> DataFrame:
     """AC, AP and AP2 rows within five rows of the first heading that has any; three kinds by three values."""
     head = has("Spettanti") & has("Godute") & has("Residue")
     label = F.upper(F.get("words", F.lit(0))["text"])
-    tail = F.collect_list(F.struct("doc_row", label.alias("k"), F.transform(F.slice("words", 2, 1000), lambda w: w["amt"]).alias("v"))).over(in_doc().rowsBetween(1, 5))
+    tail = F.collect_list(F.struct("doc_row", label.alias("k"), F.transform(F.slice("words", F.lit(2), F.size("words")), lambda w: w["amt"]).alias("v"))).over(in_doc().rowsBetween(1, 5))
     r = rows.withColumn("next5", F.filter(tail, lambda x: x["k"].isin("AC", "AP", "AP2"))).where(head & (F.size("next5") > 0))
     r = r.groupBy("doc_id").agg(F.min_by("next5", "doc_row").alias("x"))
     of = lambda k: F.get(F.filter("x", lambda y: y["k"] == k), F.lit(0))["v"]
@@ -539,7 +539,7 @@ def leave_s(rows: DataFrame) -> DataFrame:
     r = r.withColumns({"h": F.min(F.when(head, F.col("doc_row"))).over(Window.partitionBy("doc_id")), "mk": F.first("mk", ignorenulls=True).over(in_doc().rowsBetween(Window.unboundedPreceding, 0))})
     r = r.where("doc_row > h and doc_row <= h + 5 and size(mk) > 0")
     tipo = F.get(F.array(*[F.lit(x) for x in LEAVES]), F.array_position(F.array(F.lit("FERIE"), F.lit("R.O.L."), F.lit("B.ORE")), F.upper(F.get("words", F.lit(0))["text"])).cast("int") - 1)
-    r = r.withColumns({"tipo": tipo, "m": C.nearest_column(F.col("mk"), F.slice("words", 2, 1000), 40.0)}).where("tipo is not null and m is not null")
+    r = r.withColumns({"tipo": tipo, "m": C.nearest_column(F.col("mk"), F.slice("words", F.lit(2), F.size("words")), 40.0)}).where("tipo is not null and m is not null")
     f = lambda n: _field(F.col("m"), n)
     null = F.lit(None).cast(X.DEC)
     main = F.struct("tipo", *[f(n).alias(n) for n in ("maturato", "goduto", "residuo", "residuo_ap")])
