@@ -7,8 +7,10 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 SALTS = 256
+_LOCAL: list[str] = []
 
 
 def scratch(spark: SparkSession) -> str:
@@ -20,8 +22,9 @@ def scratch(spark: SparkSession) -> str:
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext._conf.set("spark.checkpoint.dir", base)
+        if not _LOCAL:
+            _LOCAL.append("file://" + tempfile.mkdtemp(prefix="spark-"))
+        base = _LOCAL[0]
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -42,6 +45,11 @@ def salted(rows: DataFrame, on: Column, salts: int = SALTS) -> DataFrame:
     return rows.withColumn("salt", F.pmod(F.xxhash64(on), F.lit(salts)).cast("int"))
 
 
+def dealt(rows: DataFrame, salts: int = SALTS) -> DataFrame:
+    """rows with a column salt in [0, salts) that tells even equal rows apart. To be written before it is used twice."""
+    return rows.withColumn("salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int"))
+
+
 def grouped(rows: DataFrame, key: str, aggs: dict[str, tuple[Column, callable]]) -> DataFrame:
     """One row per key of salted rows: key, aggs, and salts, the list of the salts that the key has.
 
@@ -65,3 +73,31 @@ def by_small(rows: DataFrame, small: DataFrame, key: list[str], on: Column, salt
     """
     spread = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted(rows, on, salts).join(spread, [*key, "salt"], how).drop("salt")
+
+
+def running_starts(parts: DataFrame, key: str, part: str, n: str, start: str, block: int = 64) -> DataFrame:
+    """parts (key, part, n; one row each): key, part, and start, the sum of n over the key's smaller parts.
+
+    In two steps, over blocks of parts and within a block, so that no task orders more than a block or a list of blocks.
+    """
+    rows = parts.withColumn("_block", F.floor(F.col(part) / block).cast("int"))
+    before = lambda of, by, order: F.coalesce(F.sum(of).over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = rows.groupBy(key, "_block").agg(F.sum(n).alias("_n"))
+    blocks = blocks.select(key, "_block", before("_n", [key], "_block").alias("_at"))
+    return rows.withColumn("_in", before(n, [key, "_block"], part)).join(blocks, [key, "_block"]).select(key, part, (F.col("_at") + F.col("_in")).alias(start))
+
+
+def one_each(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs without the rows named in gone (id_key, check; see id_key), and one row where rows repeat id and text.
+
+    Repeats are reduced before the exchange, so a row with very many copies is no hot spot; the join with gone uses the
+    exchange that the reduction needs anyway. Columns come out as they came in.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(id_key(F.col(id_col)).alias("id_key"), F.xxhash64(F.col(text_col)).alias("check"), row.alias("row"))
+    return keyed.groupBy("id_key", "check").agg(F.first("row").alias("row")).join(gone, ["id_key", "check"], "left_anti").select("row.*")
+
+
+def id_key(c: Column) -> Column:
+    """An id of any type as text that is never null; a null id differs from any other."""
+    return F.coalesce(F.concat(F.lit("+"), c.cast("string")), F.lit("-"))

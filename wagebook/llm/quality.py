@@ -91,65 +91,80 @@ def _shapes(texts: pd.Series) -> pd.Series:
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> Network | None:
     """The network, from max_rows labelled documents at most, taken by a hash of their id; None without any label.
 
-    Of several labels of a document the lower one counts. The labelled ids are of bounded number, so they are broadcast.
+    Of several labels of a document the lower one counts, of several texts of one id the one with the smallest hash, so
+    the sample and its order are the same however the tables are partitioned. The labelled ids are of bounded number, so
+    they are broadcast.
     """
-    known = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("y"))
-    known = known.orderBy(F.xxhash64(F.lit("fit"), "doc_id")).limit(max_rows)
-    rows = docs.join(F.broadcast(known), "doc_id").select(_shapes("text").alias("x"), "y").limit(2 * max_rows).collect()
+    order = F.xxhash64(F.lit("fit"), "doc_id")
+    known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("y"))
+    known = known.orderBy(order, "doc_id").limit(max_rows)
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "y", F.xxhash64("text").alias("h"), _shapes("text").alias("x"))
+    rows = rows.groupBy("doc_id", "y").agg(F.min_by("x", "h").alias("x")).select("x", "y", order.alias("o"), "doc_id").collect()
     if not rows:
         return None
+    rows.sort(key=lambda r: (r["o"], r["doc_id"]))
     return Network().fit(np.array([r["x"] for r in rows]), np.array([float(r["y"]) for r in rows]))
 
 
-def scored(docs: DataFrame, model: Network | None, host: str = "source", path: str = "lang", least_weight: float = 2.0, most_weight: float = 1000.0) -> DataFrame:
-    """docs with doc_score, host_score, path_score and score, the combined probability.
+def prior_weight(groups: DataFrame, n: str, k: str, least: float, most: float) -> float:
+    """Documents that a prior counts as, from the spread of the groups' means (k / n) between them: method of moments."""
+    c, r = F.col(n).cast("double"), F.col(k) / F.col(n) / SCALE
+    t = groups.agg(F.sum(c).alias("n"), F.sum(c * c).alias("nn"), F.sum(c * r).alias("k"), F.sum(c * r * r).alias("kk"), F.count(F.lit(1)).alias("g")).first()
+    if not t["n"] or t["g"] < 2 or t["n"] ** 2 <= t["nn"]:
+        return most
+    mean = t["k"] / t["n"]
+    within = mean * (1 - mean)
+    between = (t["kk"] / t["n"] - mean * mean - within * (t["g"] - 1) / t["n"]) / (1 - t["nn"] / t["n"] ** 2)
+    # Sums of doubles differ in their last digits with their order, so the weight is rounded.
+    return float(f"{min(most, max(least, within / between - 1)):.6g}") if between > 1e-12 else most
 
-    Null hosts and paths are sites of their own. Without a model every score is 1, so nothing is rejected.
+
+SCORES = ["doc_score", "host_score", "path_score", "score"]
+
+
+def scored(docs: DataFrame, model: Network | None, keep: list[str] | None = None, host: str = "source", path: str = "lang", least_weight: float = 2.0, most_weight: float = 1000.0) -> DataFrame:
+    """A row per row of docs: row (a struct of its columns, or of those in keep), doc_score, host_score, path_score and
+    score, the combined probability.
+
+    Null hosts and paths are sites of their own. A null text is an empty one; texts of any length are read whole.
+    Repeated rows each count as evidence of their site and get one score. No rows give no rows. Without a model every
+    score is 1, so nothing is rejected. Columns of docs may have any name. The network runs once over each row; rows
+    are written with what it said, as site evidence must be complete before any score is.
     """
+    row = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
     if model is None:
-        return docs.withColumns({c: F.lit(1.0) for c in ("doc_score", "host_score", "path_score", "score")})
+        return docs.select(row, *[F.lit(1.0).alias(c) for c in SCORES])
 
     @F.pandas_udf("long")
     def parts(texts: pd.Series) -> pd.Series:
         return pd.Series(np.rint(model.predict(shapes(texts)) * SCALE).astype(np.int64))
 
-    names = {"_host": F.coalesce(F.col(host).cast("string"), F.lit("\0")), "_path": F.coalesce(F.col(path).cast("string"), F.lit("\0"))}
-    rows = docs.withColumns({"_p": parts("text"), **names})
-    paths = written(rows.groupBy("_host", "_path").agg(F.count(F.lit(1)).alias("_n"), F.sum("_p").alias("_k")))
-    hosts = written(paths.groupBy("_host").agg(F.sum("_n").alias("_hn"), F.sum("_k").alias("_hk")))
-
-    def weight(groups: DataFrame, n: str, k: str) -> float:
-        c, r = F.col(n).cast("double"), F.col(k) / F.col(n) / SCALE
-        t = groups.agg(F.sum(c).alias("n"), F.sum(c * c).alias("nn"), F.sum(c * r).alias("k"), F.sum(c * r * r).alias("kk"), F.count(F.lit(1)).alias("g")).first()
-        if not t["n"] or t["g"] < 2 or t["n"] ** 2 <= t["nn"]:
-            return most_weight
-        mean = t["k"] / t["n"]
-        within = mean * (1 - mean)
-        between = (t["kk"] / t["n"] - mean * mean - within * (t["g"] - 1) / t["n"]) / (1 - t["nn"] / t["n"] ** 2)
-        return min(most_weight, max(least_weight, within / between - 1)) if between > 0 else most_weight
-
-    total = hosts.agg(F.sum("_hn").alias("n"), F.sum("_hk").alias("k")).first()
+    site = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\0"))
+    rows = written(docs.select(row, parts("text").alias("p"), site(host).alias("host"), site(path).alias("path")))
+    paths = written(rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("k")))
+    hosts = written(paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("k").alias("hk")))
+    total = hosts.agg(F.sum("hn").alias("n"), F.sum("hk").alias("k")).first()
     base = min(1 - 1e-6, max(1e-6, (total["k"] or 0) / SCALE / total["n"])) if total["n"] else 0.5
-    wh, wp = weight(hosts, "_hn", "_hk"), weight(paths, "_n", "_k")
-    sites = written(by_small(paths, hosts, ["_host"], F.col("_path")))
-    p = F.col("_p") / SCALE
-    out = by_small(rows, sites, ["_host", "_path"], F.struct("doc_id", F.length("text")))
-    out = out.withColumn("host_score", (F.col("_hk") / SCALE - p + wh * base) / (F.col("_hn") - 1 + wh))
-    out = out.withColumn("path_score", (F.col("_k") / SCALE - p + wp * F.col("host_score")) / (F.col("_n") - 1 + wp))
+    wh, wp = prior_weight(hosts, "hn", "hk", least_weight, most_weight), prior_weight(paths, "n", "k", least_weight, most_weight)
+    sites = written(by_small(paths, hosts, ["host"], F.col("path")))
+    p = F.col("p") / SCALE
+    out = by_small(rows, sites, ["host", "path"], F.struct("p", F.monotonically_increasing_id()))
+    out = out.withColumn("host_score", (F.col("hk") / SCALE - p + wh * base) / (F.col("hn") - 1 + wh))
+    out = out.withColumn("path_score", (F.col("k") / SCALE - p + wp * F.col("host_score")) / (F.col("n") - 1 + wp))
 
     def logit(c):
         c = F.greatest(F.least(c, F.lit(1 - 1e-6)), F.lit(1e-6))
         return F.log(c / (1 - c))
 
     score = 1 / (1 + F.exp(-(logit(p) + logit(F.col("path_score")) - logit(F.lit(base)))))
-    return out.withColumns({"doc_score": p, "score": score}).drop("_host", "_path", "_p", "_n", "_k", "_hn", "_hk")
+    return out.withColumns({"doc_score": p, "score": score}).select("row", *SCORES)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """docs whose score is at least threshold; columns as they came."""
-    return scored(docs, fit(docs, labels)).where(F.col("score") >= threshold).select(*docs.columns)
+    return scored(docs, fit(docs, labels)).where(F.col("score") >= threshold).select("row.*")
 
 
 def query(spark, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    out = scored(docs.select("doc_id", "text", "source", "lang"), fit(docs, labels))
-    return out.select("doc_id", "doc_score", "host_score", "path_score", "score", (F.col("score") >= 0.5).alias("kept"))
+    out = scored(docs, fit(docs, labels), ["doc_id"])
+    return out.select("row.doc_id", *SCORES, (F.col("score") >= 0.5).alias("kept"))
