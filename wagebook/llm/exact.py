@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagebook.llm.common import attached, grouped, salted, scratch, written
+from wagebook.llm.common import attached, dealt, grouped, id_key, one_each, scratch, written
 
 
 def normalised(text: Column) -> Column:
@@ -24,6 +24,7 @@ class DigestIndex:
 
     Adding a batch twice changes nothing. A batch that fails midway leaves the index as it was or with whole rows that
     the next attempt finds. Null ids count as larger than any; a digest that only null ids have gets a null keep_id.
+    Every append adds a sorted file to each bucket; compact() makes them one again, so that joins need no sort.
     """
 
     def __init__(self, spark: SparkSession, name: str, path: str | None = None, buckets: int | None = None):
@@ -38,6 +39,17 @@ class DigestIndex:
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def compact(self) -> DigestIndex:
+        """The index as one sorted file a bucket, under a new name; this one stays for those who read it."""
+        new = new_index(self.spark)
+        new.buckets = self.buckets
+        new._append(self.rows())
+        return new
+
+    def forget(self) -> None:
+        """Takes the name out of the catalog. Files of an index with a path stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def add(self, batch: DataFrame) -> None:
         """batch: digest, id. The batch is pre-aggregated, so a digest with very many copies costs one row a task."""
         new = batch.groupBy("digest").agg(F.min("id").alias("keep_id"))
@@ -46,23 +58,33 @@ class DigestIndex:
         self._append(new)
 
 
+def _cuts(rows: DataFrame, batches: int, draws: int = 15) -> list:
+    """batches - 1 ids at about even distances: order statistics of `draws` ids that hashes choose. Ids of any type that
+    can be ordered will do."""
+    drawn = F.array_distinct(F.array_sort(F.array(*[F.min_by("id", F.xxhash64(F.lit(k), "id")) for k in range(draws)])))
+    got = rows.where("id is not null").agg(drawn.alias("d")).first()["d"]
+    got = [x for x in got if x is not None]
+    return sorted({got[len(got) * i // batches] for i in range(1, batches)}) if got else []
+
+
 def exact_groups(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text", batches: int = 2) -> DataFrame:
     """One row per row of docs: id, check (hash of the raw text), digest, keep_id, group_size.
 
     docs go into the index in batches of ascending id, so that within docs the smallest id of equal texts stays, and a
-    text that the index knows from earlier data keeps the id it has there. Rows that repeat both id and text count in
-    group_size and share one fate. Other columns of docs are not looked at. No rows give no rows.
+    text that the index knows from earlier data keeps the id it has there. Ids are of any type that can be ordered; a
+    null id counts as larger than any. Rows that repeat both id and text count in group_size and share one fate. Texts
+    are read whole; a null one is empty. Other columns of docs are not looked at. No rows give no rows.
     """
     text = F.col(text_col)
-    rows = written(docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("check"), F.sha2(normalised(text).cast("binary"), 256).alias("digest")))
-    cuts = sorted(set(rows.approxQuantile("id", [i / batches for i in range(1, batches)], 0.05))) if batches > 1 else []
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("check"), F.sha2(normalised(text).cast("binary"), 256).alias("digest"))
+    rows = written(dealt(rows))
     at = F.lit(0)
+    cuts = _cuts(rows, batches) if batches > 1 else []
     for c in cuts:
-        at = at + F.when(F.col("id") > c, 1).otherwise(0)
+        at = at + F.when(F.col("id") > F.lit(c), 1).otherwise(0)
     at = F.when(F.col("id").isNull(), len(cuts)).otherwise(at)
     for k in range(len(cuts) + 1):
         index.add(rows.where(at == k).select("id", "digest"))
-    rows = salted(rows, F.col("id"))
     groups = grouped(rows, "digest", {"group_size": (F.count(F.lit(1)), F.sum)})
     return attached(rows, groups.join(index.rows().hint("merge"), "digest"), "digest")
 
@@ -72,17 +94,29 @@ def new_index(spark: SparkSession) -> DigestIndex:
     return DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}", scratch(spark))
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows whose text another row keeps; columns as they came.
+def drop_copies(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without the rows whose text another row, or the index, keeps; columns as they came.
 
-    The rows to drop are found by id and text hash, so that an id that occurs with two texts loses only the copy.
+    Of the rows that share the kept id, the text with the smallest hash stays, and of rows that repeat id and text one
+    stays, whatever the id: so copies that only null ids have go too. index: without it one of docs alone is made, and
+    its name is taken out of the catalog again.
     """
-    gone = exact_groups(docs, new_index(docs.sparkSession), id_col, text_col).where(~F.col("id").eqNullSafe(F.col("keep_id"))).select("id", "check").distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["id"]) & (F.xxhash64(docs[text_col]) == gone["check"]), "left_anti")
+    own = index or new_index(docs.sparkSession)
+    rows = exact_groups(docs, own, id_col, text_col)
+    mine = F.col("id").eqNullSafe(F.col("keep_id"))
+    rows = written(dealt(rows.select("digest", id_key(F.col("id")).alias("id_key"), "check", mine.alias("mine"))))
+    stay = grouped(rows.where("mine"), "digest", {"stays": (F.min("check"), F.min)})
+    fate = rows.join(stay.withColumn("salt", F.explode("salts")).drop("salts"), ["digest", "salt"], "left")
+    gone = fate.where(~(F.col("mine") & (F.col("check") == F.col("stays")))).select("id_key", "check").distinct()
+    if index is None:
+        own.forget()
+    return one_each(docs, gone, id_col, text_col)
 
 
 def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    g = exact_groups(docs, new_index(spark))
+    index = new_index(spark)
+    g = written(exact_groups(docs, index))
+    index.forget()
     return g.select(F.col("id").alias("doc_id"), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256"))
 
 
