@@ -1,18 +1,21 @@
 """Document fingerprints by a homomorphic multiset hash.
 
 Each paragraph (line) is hashed to a wide vector; a text's fingerprint is the sum of its paragraphs' vectors, modulo 2**16
-in each hash lane and 2**32 in each sketch lane: a text that Spark can hold has under 2**31 runs, so its counts never wrap. So the order of paragraphs does not matter, and a paragraph is put in or taken out by adding or subtracting
-its vector. The first lanes are uniform (SHAKE-128) and make equality strict; the others are a signed count sketch of the
+in each hash lane and 2**32 in each sketch lane: a text that Spark can hold has under 2**31 runs, so its counts never
+wrap. So the order of paragraphs does not matter, and a paragraph is put in or taken out by adding or subtracting its
+vector. The first lanes are uniform (SHAKE-128) and make equality strict; the others are a signed count sketch of the
 paragraph's character runs, linear too, whose cosine estimates how much of two texts is the same.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -87,36 +90,45 @@ def written(v: np.ndarray) -> str:
     return base64.b64encode(v[:HASH_LANES].astype("<u2").tobytes() + v[HASH_LANES:].astype("<u4").tobytes()).decode()
 
 
-def dealt_by_id(docs: DataFrame, parts: int, buckets: int = 1 << 16) -> DataFrame:
-    """docs (doc_id, text) with part, pos and guest: parts hold runs of descending ids, dealt whole to tasks.
+def cut_rows(docs: DataFrame, parts: int, draws: int = 32) -> list[tuple[int, int, int]]:
+    """At most `parts` places in the order of dealt_by_id, the very first among them, at about even distances.
+
+    They are order statistics of parts * draws rows that hashes of id and text choose, so outlying ids or very many rows
+    of one id do not make the parts uneven. The driver holds that many rows of three numbers.
+    """
+    null, at = F.col("doc_id").isNull().cast("int").alias("null"), F.coalesce(-F.col("doc_id"), F.lit(0)).cast("long").alias("at")
+    places = docs.select(null, at, F.xxhash64("text").alias("h"))
+    first = places.agg(F.min(F.struct("null", "at", "h")).alias("x")).first()["x"]
+    if first is None:
+        return []
+    drawn = places.orderBy(F.xxhash64(F.lit("cut"), "null", "at", "h"), "null", "at", "h").limit(parts * draws).collect()
+    drawn = sorted({tuple(r) for r in drawn})
+    return sorted({tuple(first), *(drawn[len(drawn) * k // parts] for k in range(1, parts))})
+
+
+def dealt_by_id(docs: DataFrame, parts: int) -> DataFrame:
+    """docs (doc_id, text) with null, at, h, part and guest: parts hold runs of documents in descending order of id, null
+    ids last, rows of one id by the hash of their text, and are dealt whole to tasks.
 
     Each part's first document is also a guest at the end of the part before it (the first part's: of the last), so that
-    every document meets its successor within one part. Null ids come last. The driver holds counts of `buckets` ranges
-    of ids and one id for each part.
+    every document meets its successor within one part.
     """
-    spark = docs.sparkSession
-    span = docs.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).first()
-    low, high = (span["a"], span["b"]) if span["a"] is not None else (0, 0)
-    width = max(1, -(-(high - low + 2) // buckets))
-    pos = F.coalesce(F.col("doc_id"), F.lit(low - 1)).cast("long")
-    rows = docs.withColumn("pos", pos).withColumn("bucket", F.floor((F.col("pos") - (low - 1)) / width).cast("int"))
-    counts = dict(sorted(((r["bucket"], r["n"]) for r in docs.select(pos.alias("pos")).groupBy(F.floor((F.col("pos") - (low - 1)) / width).cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True))
-    total, part_of, run = sum(counts.values()), [0] * (max(counts, default=0) + 1), 0
-    for b, n in counts.items():
-        part_of[b] = run * parts // max(1, total)
-        run += n
-    used = sorted(set(part_of[b] for b in counts))
-    heads = rows.select("pos", F.get(F.lit(part_of), F.col("bucket")).alias("part")).groupBy("part").agg(F.max("pos").alias("head")).collect()
-    heads = {r["part"]: r["head"] for r in heads}
-    guests = [(heads[p], used[i - 1]) for i, p in enumerate(used)]
-    rows = rows.withColumn("part", F.get(F.lit(part_of), F.col("bucket")))
-    if not guests:
-        return rows.withColumn("guest", F.lit(0)).drop("bucket")
-    hosts = spark.createDataFrame(guests, "pos long, host int")
-    rows = rows.join(F.broadcast(hosts), "pos", "left")
-    places = F.array(F.struct("part", F.lit(0).alias("guest")), F.struct(F.col("host").alias("part"), F.lit(1).alias("guest")))
-    rows = rows.withColumn("at", F.explode(F.filter(places, lambda x: x["part"].isNotNull())))
-    return rows.select("doc_id", "text", "pos", "at.part", "at.guest")
+    cuts = cut_rows(docs, parts)
+
+    @F.pandas_udf("part int, host int")
+    def place(null: pd.Series, at: pd.Series, h: pd.Series) -> pd.DataFrame:
+        part, host = [], []
+        for key in zip(null.tolist(), at.tolist(), h.tolist()):
+            k = bisect.bisect_right(cuts, key) - 1
+            part.append(k)
+            host.append((k - 1) % len(cuts) if cuts[k] == key else None)
+        return pd.DataFrame({"part": pd.Series(part, dtype="int32"), "host": pd.Series(host, dtype="Int32")})
+
+    rows = docs.select("doc_id", "text", F.col("doc_id").isNull().cast("int").alias("null"), F.coalesce(-F.col("doc_id"), F.lit(0)).cast("long").alias("at"), F.xxhash64("text").alias("h"))
+    rows = rows.withColumn("p", place("null", "at", "h"))
+    places = F.array(F.struct("p.part", F.lit(0).alias("guest")), F.struct(F.col("p.host").alias("part"), F.lit(1).alias("guest")))
+    rows = rows.withColumn("x", F.explode(F.filter(places, lambda x: x["part"].isNotNull())))
+    return rows.select("doc_id", "text", "null", "at", "h", "x.part", "x.guest")
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,12 +170,13 @@ def compared(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """Per document of docs (doc_id, text): its fingerprint, that of its edited text, and how alike they are.
 
     The edited text has the last half of the text replaced by as much of the beginning of the next document's, in
-    descending order of id (rows of one id: by text); the last document's next is the first, a single document's is
-    itself. A null text is empty. Texts are exchanged once, by ranges of ids.
+    descending order of id (null ids last, rows of one id by the hash of their text); the last document's next is the
+    first, a single document's is itself. Ids are integers. A null text is empty; texts are read whole. Other columns
+    are left out; no rows give no rows. Texts are exchanged once, by ranges of ids.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = dealt_by_id(docs.select("doc_id", "text"), parts or 8 * n)
-    rows = rows.repartition(n, "part").sortWithinPartitions("part", "guest", F.desc("pos"), "text")
+    rows = rows.repartition(n, "part").sortWithinPartitions("part", "guest", "null", "at", "h", "text")
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return rows.select("doc_id", "text", "part", "guest").mapInArrow(_compared, schema)
 
