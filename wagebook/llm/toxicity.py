@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wagebook.llm.common import written
+
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&+-_/\\~^=@`"
 
 
@@ -60,50 +62,86 @@ class NonNegativePU:
         return self
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_unlabelled: int = 8000, size: int = 2000, least: int = 3) -> tuple[dict[str, float], float] | None:
+def _numbered(words: list[str], kind: str):
+    """Feature numbers of each text, as rows of (id, h, f)."""
+    at = {w: i for i, w in enumerate(words)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [sorted(at[w] for w in features(t) & at.keys()) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found, pa.list_(pa.int32()))], ["id", "h", "f"])
+
+    return run, f"id {kind}, h long, f array<int>"
+
+
+def _counted(words: list[str]):
+    """Per batch, in how many texts each of words occurs: rows (f, n), and (-1, texts)."""
+    at = {w: i for i, w in enumerate(words)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total = np.zeros(len(words), dtype=np.int64), 0
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                for w in features(t) & at.keys():
+                    n[at[w]] += 1
+            total += b.num_rows
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int32()), pa.array(np.append(n[some], total), pa.int64())], ["f", "n"])
+
+    return run
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_unlabelled: int = 8000, size: int = 2000, least: int = 3, max_candidates: int = 100_000) -> tuple[dict[str, float], float] | None:
     """(feature weights, bias), or None where no row is confirmed toxic.
 
-    Samples are bounded (max_positive, max_unlabelled; by hash of id) and never hold held-out rows. The unlabelled one is
-    drawn from all other text, confirmed toxic or not, as the risk estimator has it. Features: the size
-    ones in least positives at least that tell positives from unlabelled text best. The class prior is the toxic share of
-    labelled rows outside the held-out ones.
+    Nothing is learned from held-out rows. Positives are max_positive confirmed toxic documents at most, by hash of id.
+    Candidates for features are what at least `least` of them have, the max_candidates most frequent ones; how often
+    each occurs is counted over all documents, and the `size` that tell positives from all text best are taken. The risk
+    over unlabelled text is estimated from max_unlabelled documents at most, drawn by hash of id from all text,
+    confirmed toxic or not, as the estimator has it. Of rows that repeat an id, the text with the smallest hash counts
+    for the samples. The class prior is the toxic share of labelled rows outside the held-out ones.
     """
-    known = labels.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = labels.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = known.where("toxic is not null").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k")).first()
     if not counts["k"]:
         return None
     prior = min(0.9, max(0.001, counts["k"] / counts["n"]))
     order = F.xxhash64(F.lit("fit"), "doc_id")
-    sure = known.where("toxic = 1").orderBy(order).limit(max_positive).select("doc_id", F.lit(True).alias("positive"))
-    rest = docs.select("doc_id").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
-    rest = rest.orderBy(order).limit(max_unlabelled).select("doc_id", F.lit(False).alias("positive"))
-    sample = docs.select("doc_id", "text").join(F.broadcast(sure.unionByName(rest)), "doc_id").select("text", "positive")
+    texts = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
+    sure = known.where("toxic = 1").orderBy(order, "doc_id").limit(max_positive).select("doc_id", F.lit(True).alias("positive"))
+    rest = texts.select("doc_id").where("doc_id is not null").distinct()
+    rest = rest.orderBy(order, "doc_id").limit(max_unlabelled).select("doc_id", F.lit(False).alias("positive"))
+    # The ids are of bounded number, so they are broadcast; the sample's texts are written once.
+    sample = texts.join(F.broadcast(sure.unionByName(rest)), "doc_id").select("doc_id", "positive", "text", F.xxhash64("text").alias("h"))
+    sample = written(sample.groupBy("doc_id", "positive").agg(F.min_by("text", "h").alias("text")))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([sorted(features(t)) for t in b.column(0).to_pylist()], pa.list_(pa.string())), b.column(1)], ["f", "positive"])
+            yield pa.RecordBatch.from_arrays([pa.array([sorted(features(t)) for t in b.column(0).to_pylist()], pa.list_(pa.string()))], ["f"])
 
-    rows = sample.mapInArrow(listed, "f array<string>, positive boolean")
-    totals = rows.groupBy("positive").agg(F.count(F.lit(1)).alias("n")).collect()
-    n = {r["positive"]: r["n"] for r in totals}
-    if not n.get(True) or not n.get(False):
+    ours = sample.where("positive").select("text").mapInArrow(listed, "f array<string>").select(F.explode("f").alias("f"))
+    found = ours.groupBy("f").agg(F.count(F.lit(1)).alias("a")).where(F.col("a") >= least).orderBy(F.desc("a"), "f").limit(max_candidates).collect()
+    positives, candidates = sample.where("positive").count(), [r["f"] for r in found]
+    if not positives or positives == sample.count():
         return None
-    found = rows.select(F.explode("f").alias("f"), "positive").groupBy("f").agg(F.count_if("positive").alias("a"), F.count_if(~F.col("positive")).alias("b"))
-    apart = F.abs(F.log(((F.col("a") + 0.5) / (n[True] + 1)) / ((F.col("b") + 0.5) / (n[False] + 1)))) * F.sqrt(F.col("a") + F.col("b"))
-    words = [r["f"] for r in found.where(F.col("a") >= least).orderBy(apart.desc(), "f").limit(size).collect()]
-    at = {w: i for i, w in enumerate(words)}
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([sorted(at[w] for w in features(t) if w in at) for t in b.column(0).to_pylist()], pa.list_(pa.int32())), b.column(1)], ["f", "positive"])
-
-    got = sample.mapInArrow(numbered, "f array<int>, positive boolean").collect()
-    model = NonNegativePU(prior).fit([np.array(r["f"], dtype=np.int64) for r in got], np.array([r["positive"] for r in got]), len(words))
+    everywhere = texts.select("text").mapInArrow(_counted(candidates), "f int, n long").groupBy("f").agg(F.sum("n").alias("n")).collect()
+    everywhere = {r["f"]: r["n"] for r in everywhere}
+    a, b = np.array([r["a"] for r in found], dtype=float), np.array([everywhere.get(i, 0) for i in range(len(found))], dtype=float)
+    b *= positives / everywhere[-1]  # as if all text were as many documents as the positives
+    apart = np.abs(np.log((a + 0.5) / (b + 0.5))) * np.sqrt(a + b)
+    words = [candidates[i] for i in sorted(range(len(found)), key=lambda i: (-round(apart[i], 9), candidates[i]))[:size]]
+
+    run, schema = _numbered(words, docs.schema["doc_id"].dataType.simpleString())
+    got = [(sample.where(c).select("doc_id", "text", order.alias("h")).mapInArrow(run, schema).collect()) for c in ("positive", "not positive")]
+    got = [sorted(x, key=lambda r: (r["h"], r["id"])) for x in got]
+    rows = [np.array(r["f"], dtype=np.int64) for x in got for r in x]
+    model = NonNegativePU(prior).fit(rows, np.array([True] * len(got[0]) + [False] * len(got[1])), len(words))
     return dict(zip(words, map(float, model.w))), model.bias
 
 
 def score(docs: DataFrame, model: tuple[dict[str, float], float] | None) -> DataFrame:
-    """docs with score (0 to 1). Null and empty texts get what the bias says; without a model every score is 0."""
+    """docs with score (0 to 1), which replaces a column of that name. Null and empty texts get what the bias says; texts
+    are read whole; repeated rows get one score; no rows give no rows; without a model every score is 0."""
     if model is None:
         return docs.withColumn("score", F.lit(0.0))
     weights, bias = model
