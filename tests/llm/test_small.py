@@ -300,7 +300,7 @@ def test_warc(spark, empty):
 
 def test_warc_reader_finds_damage(spark):
     a, b = warc.record(1, "http://a", b"hello", None, False), warc.record(2, None, b"hello", 1, True)
-    whole = a + warc.EMPTY_MEMBER + b
+    whole = a + b + warc.CLOSING
     for size in (1, 7, 10**6):
         got = list(warc.read_archive(whole[i : i + size] for i in range(0, len(whole), size)))
         assert [(h["warc-type"], n, ok) for h, n, _, ok in got] == [("response", 5, True), ("revisit", 5, True)]
@@ -384,7 +384,7 @@ def test_quality_sites_shrink(spark):
             return np.where(x[:, 0] > 0.5, 0.05, 0.6)
 
     rows = [(i, "BAD", "p", "bad", 1) for i in range(50)] + [(100 + i, "fine", "p", "good", 1) for i in range(50)] + [(200, "fine", "p", "bad", 1), (201, "fine", "q", "new", 1)]
-    got = {r["doc_id"]: r for r in quality.scored(spark.createDataFrame(rows, SCHEMA), Fixed()).collect()}
+    got = {r["row"]["doc_id"]: r for r in quality.scored(spark.createDataFrame(rows, SCHEMA), Fixed()).collect()}
     assert got[200]["score"] < got[201]["score"] <= got[100]["score"]
     assert abs(got[201]["path_score"] - got[201]["host_score"]) < 1e-9
 
