@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagebook.llm.common import attached, grouped, salted, written
+from wagebook.llm.common import attached, dealt, grouped, salted, written
 
 #: Fixed values: (verdict, host, path).
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 LEAST, MOST = 2.0, 1000.0
+#: Public suffixes of two labels; any other last label is a suffix of its own. A parameter of judged().
+SUFFIXES = ["ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "or.jp", "ac.jp", "com.br", "com.cn", "com.mx", "com.tr", "co.in", "co.kr", "co.za", "com.ar", "gov.it", "edu.it"]
 
 
 def host_of(url: Column) -> Column:
@@ -36,6 +38,16 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
     return (rule, verdict) if rules else (F.lit(None).cast("string"), F.lit(None).cast("string"))
 
 
+def site_of(host: Column, suffixes: list[str]) -> tuple[Column, Column]:
+    """(registered domain, suffix) of a host, without user name and port. An IP address is both by itself."""
+    bare = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", "")
+    ip = bare.startswith("[") | bare.rlike(r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$")
+    two = F.substring_index(bare, ".", -2).isin(suffixes)
+    suffix = F.when(ip, bare).when(two, F.substring_index(bare, ".", -2)).otherwise(F.substring_index(bare, ".", -1))
+    domain = F.when(ip, bare).when(two, F.substring_index(bare, ".", -3)).otherwise(F.substring_index(bare, ".", -2))
+    return domain, suffix
+
+
 def prior_weight(groups: DataFrame, mean: float) -> float:
     """Rows that the prior of this level counts as: mean * (1 - mean) over the variance between groups, less one."""
     n = F.col("n").cast("double")
@@ -53,14 +65,14 @@ def _grouped(rows: DataFrame, key: str) -> DataFrame:
     return written(grouped(rows, key, {c: (F.sum(c), F.sum) for c in ("n", "k")}))
 
 
-def reputations(rows: DataFrame) -> DataFrame:
+def reputations(rows: DataFrame, suffixes: list[str] = SUFFIXES) -> DataFrame:
     """rows: host, n, k (labelled and good pages), salt -> one row per host: host, salts, n, k, mean, weight.
 
     Hosts without labelled pages take what their domain, suffix or all pages say. Without any label the mean is 0.5.
-    The registered domain is the last two labels of the host, its suffix the last one.
+    The suffix is the last label of the host, or its last two where suffixes has them, the registered domain one more.
     """
-    hosts = _grouped(rows, "host").withColumn("domain", F.substring_index("host", ".", -2))
-    domains = _grouped(salted(hosts.drop("salts"), F.col("host")), "domain").withColumn("suffix", F.substring_index("domain", ".", -1))
+    hosts = _grouped(rows, "host").withColumn("domain", site_of(F.col("host"), suffixes)[0])
+    domains = _grouped(salted(hosts.drop("salts"), F.col("host")), "domain").withColumn("suffix", site_of(F.col("domain"), suffixes)[1])
     suffixes = _grouped(salted(domains.drop("salts"), F.col("domain")), "suffix")
     t = suffixes.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
     mean = (t["k"] or 0) / t["n"] if t["n"] else 0.5
@@ -75,17 +87,18 @@ def reputations(rows: DataFrame) -> DataFrame:
     return up.select("host", "salts", "n", "k", "mean", "weight")
 
 
-def judged(pages: DataFrame, outcomes: DataFrame, rules=RULES, least_good: float = 0.5, z: float = 1.645) -> DataFrame:
+def judged(pages: DataFrame, outcomes: DataFrame, rules=RULES, least_good: float = 0.5, z: float = 1.645, suffixes: list[str] = SUFFIXES) -> DataFrame:
     """pages (page_id, url): page_id, host, path, rule, verdict, n_labelled, n_good.
 
     outcomes: page_id, good (0, 1 or null). A page without a rule is blocked when the upper posterior bound (z standard
     deviations) of its host's share of good pages is under least_good: only a host that is surely bad goes. A url that
-    is null or has no :// has an empty host and path and is judged as the host "". Repeated rows are judged alike.
+    is null or has no :// has an empty host and path and is judged as the host "". Repeated rows are judged alike. Port and
+    user name stay in host but count for nothing in domain and suffix. No pages give no rows.
     """
     good = outcomes.where("good is not null").groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("k"))
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).join(good, "page_id", "left")
-    rows = written(salted(rows.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in "nk"}), F.struct("page_id", "path")))
-    hosts = reputations(rows).select("host", "salts", F.col("n").alias("n_labelled"), F.col("k").alias("n_good"), "mean", "weight")
+    rows = written(dealt(rows.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in "nk"})))
+    hosts = reputations(rows, suffixes).select("host", "salts", F.col("n").alias("n_labelled"), F.col("k").alias("n_good"), "mean", "weight")
     mean = F.col("mean")
     bound = mean + z * F.sqrt(mean * (1 - mean) / (F.col("weight") + 1))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
@@ -116,8 +129,12 @@ WITH o AS (SELECT doc_id AS page_id, count(quality) AS n, sum(quality) AS k FROM
 r AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
              regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path, coalesce(n, 0) AS n, coalesce(k, 0) AS k
       FROM pages LEFT JOIN o USING (page_id)),
-h AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, sum(n) AS n, sum(k) AS k FROM r GROUP BY 1, 2),
-d AS (SELECT domain, string_split(domain, '.')[-1] AS suffix, sum(n) AS n, sum(k) AS k FROM h GROUP BY 1, 2),
+b AS (SELECT host, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS bare, n, k FROM r),
+e AS (SELECT host, bare, string_split(bare, '.') AS p, starts_with(bare, '[') OR regexp_matches(bare, '^[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+$') AS ip,
+             array_to_string(string_split(bare, '.')[-2:], '.') IN ({", ".join(map(repr, SUFFIXES))}) AS two, n, k FROM b),
+h AS (SELECT host, CASE WHEN ip THEN bare WHEN two THEN array_to_string(p[-3:], '.') ELSE array_to_string(p[-2:], '.') END AS domain,
+             CASE WHEN ip THEN bare WHEN two THEN array_to_string(p[-2:], '.') ELSE p[-1] END AS suffix, sum(n) AS n, sum(k) AS k FROM e GROUP BY 1, 2, 3),
+d AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM h GROUP BY 1, 2),
 s AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM d GROUP BY 1),
 total AS (SELECT CASE WHEN sum(n) > 0 THEN CAST(sum(k) AS DOUBLE) / sum(n) ELSE 0.5 END AS p FROM s),
 {_level("s", "s", "suffix", None, None)},
