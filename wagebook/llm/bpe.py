@@ -179,15 +179,16 @@ def loaded(path: str) -> WordBPE:
     return _LOADED[path]
 
 
-def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encoded(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_tokens, ids (little-endian unsigned 32-bit integers) and decoded (UTF-8) of each whole text.
 
-    A null text is empty; an empty text has no tokens. path: the tokenizer file, on every executor. Texts are taken one
-    by one, so memory goes with the longest text. Repeated rows and ids are encoded as they come.
+    A null text is empty; an empty text has no tokens. path: the tokenizer file; each executor opens its own, by default
+    where its own Python finds the public one. Texts are taken one by one, so memory goes with the longest text.
+    Repeated rows, ids and null ids are encoded as they come; no rows give no rows; other columns are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(path)
+        bpe = loaded(path or default_path())
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
@@ -206,5 +207,5 @@ def default_path() -> str:
 
 
 def query(spark, docs: DataFrame, path: str | None = None) -> DataFrame:
-    out = encoded(docs, path or default_path())
+    out = encoded(docs, path)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wagebook.llm.common import attached, grouped, salted, written
+from wagebook.llm.common import attached, dealt, grouped, running_starts, written
 
 SEP = "\x1f"
 
@@ -67,12 +67,13 @@ def mixed(docs: DataFrame, tree: list[str], weights: dict[tuple, float], share:
     """docs (id_col, tree columns, tokens): each row with epochs, the number of passes that take it (0: left out).
 
     Null tree values count as the empty string. Documents without tokens cost nothing; they go with their place in the
-    order. Rows that repeat an id follow each other and each count. A leaf's documents are dealt by hash into parts, of
-    which only sums are carried on; the prefix ends within one part.
+    order. Rows that repeat an id, null ids too, follow each other and each count. A leaf's documents are dealt by hash
+    into parts, of which only sums are carried on; the prefix ends within one part. No rows give no rows. The children
+    of one tree node meet in one task, so a tree suits sources by the thousand, not hosts by the million.
     """
     names = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in tree]
     rows = docs.select(F.col(id_col).alias("id"), *names, "tokens").withColumn("leaf", F.concat_ws(SEP, *tree))
-    rows = written(salted(rows, F.col("id")))
+    rows = written(dealt(rows))
     sums = {"tokens": (F.sum("tokens"), F.sum), **{c: (F.min(c), F.min) for c in tree}}
     leaves = written(budgets(written(grouped(rows, "leaf", sums)), tree, weights, share, max_epochs))
     passes = F.when(F.col("tokens") > 0, F.least(F.lit(max_epochs), F.floor(F.col("budget") / F.col("tokens")))).otherwise(F.lit(0)).cast("int")
@@ -80,9 +81,7 @@ def mixed(docs: DataFrame, tree: list[str], weights: dict[tuple, float], share:
     drawn = attached(rows, plan, "leaf").withColumn("rest", F.when(F.col("passes") < max_epochs, F.col("rest")).otherwise(-1))
     drawn = drawn.withColumn("h", F.md5(F.concat_ws("/", F.lit(str(seed)), F.col("passes"), F.col("id")).cast("binary")))
     drawn = written(drawn.withColumn("part", F.conv(F.substring("h", 1, 3), 16, 10).cast("int") % parts))
-    part = drawn.groupBy("leaf", "part").agg(F.sum("tokens").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("leaf").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = part.select("leaf", "part", F.coalesce(before, F.lit(0)).alias("start"))
+    starts = running_starts(drawn.groupBy("leaf", "part").agg(F.sum("tokens").alias("n")), "leaf", "part", "n", "start")
     run = F.sum("tokens").over(Window.partitionBy("leaf", "part").orderBy("h", "id").rowsBetween(Window.unboundedPreceding, 0))
     out = drawn.join(starts, ["leaf", "part"]).withColumn("taken", (F.col("start") + run <= F.col("rest")).cast("int"))
     return out.select(F.col("id").alias(id_col), *tree, "tokens", "budget", (F.col("passes") + F.col("taken")).alias("epochs"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wagebook.llm.common import written
+from wagebook.llm.common import running_starts, written
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
@@ -53,7 +53,7 @@ def shuffled(rows: DataFrame, key: list[str], shards: int, seed: int = 7, block_
     """rows with shard (0 to shards - 1; row counts differ by one at most) and slot (0 to the shard's rows - 1).
 
     key: columns that tell rows apart; the same rows and seed give the same result however they are partitioned. Rows
-    equal in all of key are interchangeable. rows should be narrow, as they are exchanged twice. The driver holds the
+    equal in all of key are interchangeable; null keys are keys like others. rows should be narrow, as they are exchanged twice. The driver holds the
     matrix, of max_blocks * shards numbers at most; a block or part of a shard that one task sorts has about
     rows / max_blocks or rows / (shards * parts) rows. No rows give no rows.
     """
@@ -68,9 +68,7 @@ def shuffled(rows: DataFrame, key: list[str], shards: int, seed: int = 7, block_
     place = F.row_number().over(Window.partitionBy("_block").orderBy("_h1", *key)) - 1
     rows = rows.withColumn("_at", place).withColumn("shard", F.size(F.filter(F.get(ends, F.col("_block")), lambda e: e <= F.col("_at"))))
     rows = written(rows.drop("_at", "_block", "_h0", "_h1").withColumn("_part", F.pmod(F.shiftrightunsigned("_h2", 20), F.lit(parts)).cast("int")))
-    counts = rows.groupBy("shard", "_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = counts.select("shard", "_part", before.alias("_start"))
+    starts = running_starts(rows.groupBy("shard", "_part").agg(F.count(F.lit(1)).alias("_n")), "shard", "_part", "_n", "_start")
     slot = F.col("_start") + F.row_number().over(Window.partitionBy("shard", "_part").orderBy("_h2", *key)) - 1
     return rows.join(starts, ["shard", "_part"]).withColumn("slot", slot).drop("_part", "_start", "_h2")
 
