@@ -35,6 +35,26 @@ def test_skip_and_dedup(spark):
     assert sorted(r["filename"] for r in kept.collect()) == ["a", "d", "e", "f"] and [r["filename"] for r in skipped.collect()] == ["b"]
 
 
+def test_dedup_of_mixed_outcomes(spark):
+    files = {"1": "a FAILED b PROCESSED c NEEDS_REVIEW d FAILED e PROCESSED", "2": "a NEEDS_REVIEW b PROCESSED_WITH_ANOMALIES", "3": "a FAILED b NEEDS_REVIEW c NEEDS_REVIEW d FAILED", "4": "a FAILED"}
+    rows = [(k, f"{k}{x[i]}", x[i + 1]) for k, v in files.items() for x in [v.split()] for i in range(0, len(x), 2)]
+    kept, skipped = S.dedup_batch(spark.createDataFrame(rows, "sha256 string, filename string, status string").repartition(3))
+    assert sorted(r["filename"] for r in kept.collect()) == ["1a", "1b", "2b", "3a", "3c", "3d", "4a"]
+    assert sorted(r["filename"] for r in skipped.collect()) == ["1c", "1d", "1e"]
+
+
+def test_reports_of_problems(spark):
+    docs = spark.createDataFrame([("a", "z", 3, 2020, "o", "X", "CF"), ("b", "c", 0, 0, "o", "", ""), ("c", "unknown", None, None, None, None, None), ("d", "z", 3, 2020, "o", "X", "CF")], "doc_id string, template string, mese int, anno int, tipo string, ragione_sociale string, codice_fiscale string")
+    good = "IT60X0542811101000000123456"
+    totals = spark.createDataFrame([("a", 1, good), ("b", None, None), ("d", 1, good[:-1] + "7")], "doc_id string, netto_mese int, iban string")
+    lines, none = spark.createDataFrame([("a",), ("d",)], "doc_id string"), spark.createDataFrame([], "doc_id string, severita string")
+    report = R.acceptance_report(docs, lines, totals, none)
+    assert {r["doc_id"]: r["problems"] for r in report.collect()} == {"a": "", "b": "azienda, codice_fiscale, periodo, netto, iban mancante, righe", "c": "template", "d": "iban non valido"}
+    want = [("a", "z", 3, 2021), ("b", "c", None, None), ("c", "z", 1, 2020), ("d", "z", 3, 2020), ("e", "z", None, None)]
+    got = R.check_expected(report, spark.createDataFrame(want, "doc_id string, template string, mese int, anno int"))
+    assert {r["doc_id"]: r["problems"] for r in got.collect()} == {"a": "anno", "b": "azienda, codice_fiscale, periodo, netto, iban mancante, righe", "c": "template", "d": "iban non valido", "e": "documento"}
+
+
 def test_dimensions(spark):
     docs = spark.createDataFrame(
         [("A", None, "x", "CF1", "First", 1, 2020, "ordinario", TS, "a.pdf"), ("A", None, "y", "CF1", "Later", 1, 2020, "extra", TS, "b.pdf"), ("A", "7", "z", "", "No", 0, 0, "ordinario", TS, "c.pdf"), ("", None, "w", None, "No", None, None, "ordinario", TS, "d.pdf")],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wagebook.functions.text import PARENS, normalize_label
+from wagebook.functions.text import PARENS
 
 #: Keywords of pay-line descriptions, first match wins.
 CATEGORIES = [
@@ -24,6 +24,7 @@ ZONES = {
     "s_tax": [(478.0, "imposta_pagata_annua"), (374.0, "imposta_dovuta_annua"), (259.0, "imposta_lorda_annua"), (121.0, "imponibile_fiscale_annuo"), (0.0, "retribuzione_utile_tfr_annua")],
     "s_inps": [(236.0, "cong_debito_annuo"), (182.0, "cong_credito_annuo"), (121.0, "ctr_dip_inps_progr_annuo"), (57.0, "ctr_inps_progr_annuo"), (0.0, "imp_inps_progr_annuo")],
 }
+#: The zone left of all others, and where the earnings column begins.
 REST = {"z": "descrizione", "c": "ore_gg"}
 EARNINGS_FROM = {"z": 513.0, "c": 503.0, "s": 520.0}
 
@@ -82,8 +83,9 @@ def find_iban(words: Column) -> Column:
     digits, 12 digits."""
     line = F.concat(F.lit(" "), F.array_join(F.transform(words, lambda w: w["text"]), " "), F.lit(" "))
     p = r"^.*? (\d{2}) (?:.*? )??([A-Z]) (?:.*? )??(\d{5}) (?:.*? )??(\d{5}) (?:.*? )??(\d{12}) .*$"
-    parts = [F.regexp_extract(line, p, k) for k in range(1, 6)]
-    return F.when(line.rlike(p), F.concat(F.lit("IT"), *parts))
+    # Only a row with a word of twelve digits can fit; the pattern is tried on those alone, once.
+    found = F.when(line.rlike(r" \d{12} "), F.regexp_replace(line, p, "IT$1$2$3$4$5"))
+    return F.get(F.transform(F.array(found), lambda x: F.when(x.rlike(r"^IT\d{2}[A-Z]\d{22}$"), x)), F.lit(0))
 
 
 def nearest_column(markers: Column, words: Column, tolerance: float) -> Column:
@@ -94,8 +96,9 @@ def nearest_column(markers: Column, words: Column, tolerance: float) -> Column:
         return F.struct(F.when(near["d"] <= tolerance, near["field"]).alias("field"), w["amt"].alias("amt"))
 
     got = F.filter(F.transform(F.filter(words, lambda w: w["amt"].isNotNull()), one), lambda x: x["field"].isNotNull())
-    last = F.filter(got, lambda x, i: ~F.exists(F.slice(got, i + 2, F.size(got) + 1), lambda y: y["field"] == x["field"]))
-    return F.when(F.size(last) > 0, F.map_from_entries(last))
+    # Each lambda gives its array a name, so that it is worked out once and not for each of its elements.
+    last = F.transform(F.array(got), lambda g: F.filter(g, lambda x, i: ~F.exists(F.slice(g, i + 2, F.size(g) + 1), lambda y: y["field"] == x["field"])))
+    return F.get(F.transform(last, lambda x: F.when(F.size(x) > 0, F.map_from_entries(x))), F.lit(0))
 
 
 def markers_where(words: Column, fields: list[tuple[str, str]]) -> Column:
@@ -104,7 +107,3 @@ def markers_where(words: Column, fields: list[tuple[str, str]]) -> Column:
         return F.filter(F.array(*[F.struct(w["x0"].alias("x0"), F.when(F.lower(w["text"]).contains(k), f).alias("field")) for k, f in fields]), lambda m: m["field"].isNotNull())
 
     return F.flatten(F.transform(words, one))
-
-
-def starts_label(text: Column, wanted: str) -> Column:
-    return normalize_label(text).startswith(wanted)

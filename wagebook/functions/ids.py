@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 #: Check values of the fiscal code at odd places, for 0-9 then A-Z; at even places a digit or letter counts
 #: as its own number.
 CF_ODD = [1, 0, 5, 7, 9, 13, 15, 17, 19, 21, 1, 0, 5, 7, 9, 13, 15, 17, 19, 21, 2, 4, 18, 20, 11, 3, 6, 8, 12, 14, 16, 10, 22, 25, 24, 23]
+#: Symbols in the order of their values, patterns, and digits with the letters that they are taken for.
 SYMBOLS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 CF_PATTERN = "[A-Z]{6}[0-9]{2}[A-Z][0-9]{2}[A-Z][0-9]{3}[A-Z]"
 IBAN_PATTERN = "IT[0-9]{2}[A-Z][0-9]{22}"
@@ -40,7 +41,7 @@ def iban_format(iban: Column) -> Column:
 
 def iban_mod97_valid(iban: Column) -> Column:
     """ISO 7064 mod 97-10, letters as two-digit numbers. Lower case counts as upper; other characters make it invalid."""
-    turned = F.upper(F.concat(F.substring(iban, 5, 100), F.substring(iban, 1, 4)))
+    turned = F.upper(F.concat(F.substring(iban, F.lit(5), F.length(iban)), F.substring(iban, 1, 4)))
 
     def step(a: Column, i: Column) -> Column:
         at = F.instr(F.lit(SYMBOLS), F.substring(turned, i, F.lit(1))) - 1
@@ -55,14 +56,15 @@ def recover_iban(raw: Column) -> Column:
     if the whole then passes the checksum."""
     fifth = F.substring(raw, 5, 1)
     letter = F.translate(fifth, "".join(CONFUSED), "".join(CONFUSED.values()))
-    fixed = F.concat(F.substring(raw, 1, 4), letter, F.substring(raw, 6, 100))
+    fixed = F.concat(F.substring(raw, 1, 4), letter, F.substring(raw, F.lit(6), F.length(raw)))
     good = F.coalesce((F.length(raw) == 27) & raw.startswith("IT") & fifth.isin(list(CONFUSED)) & iban_mod97_valid(fixed), F.lit(False))
     return F.struct(F.when(good, fixed).otherwise(raw).alias("iban"), good.alias("repaired"))
 
 
 def recover_code(raw: Column) -> Column:
     """struct(code, reason): '2' before a letter was a Z; one odd character before a good code is dropped."""
-    as_z, cut = F.concat(F.lit("Z"), F.substring(raw, 2, 1000)), F.substring(raw, 2, 1000)
+    cut = F.substring(raw, F.lit(2), F.length(raw))
+    as_z = F.concat(F.lit("Z"), cut)
     kind = F.when(raw.rlike(CODE_Z), None).when(raw.rlike("^2[A-Za-z]") & as_z.rlike(CODE_Z), "font_digit_lettera").when(raw.rlike("^[^A-Z0-9]") & cut.rlike(CODE_Z), "prefisso_spurio")
     code = F.when(kind == "font_digit_lettera", as_z).when(kind == "prefisso_spurio", cut).otherwise(raw)
     return F.struct(code.alias("code"), kind.alias("reason"))

@@ -9,13 +9,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DEC = "decimal(14,5)"
-AMOUNT_TOKEN = r"-?\d{1,3}(?:\.\d{3})*,\d+|-?\d+,\d+|-?\d+"
 #: Fixed values.
+AMOUNT_TOKEN = r"-?\d{1,3}(?:\.\d{3})*,\d+|-?\d+,\d+|-?\d+"
 UNITS = ["GG", "ORE", "%"]
 PARENS = ["(", ")", "{", "}"]
 MONTHS = ["gennaio", "febbraio", "marzo", "aprile", "maggio", "giugno", "luglio", "agosto", "settembre", "ottobre", "novembre", "dicembre"]
 
 
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def normalize_label(text: Column) -> Column:
     """Letters and digits only, lower case, without any s: some fonts print a space as s."""
     return F.translate(F.lower(F.regexp_replace(text, "[^A-Za-z0-9]", "")), "s", "")
@@ -29,10 +32,16 @@ def label(text: str) -> str:
 def parse_amount(token: Column) -> Column:
     """'1.234,56', '(128,00)', '{5' -> decimal. An opening or a closing mark each make the value negative by itself."""
     core = F.replace(F.replace(F.regexp_replace(token, r"^\s*[({]?\s*|\s*\)?\s*$", ""), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    value = F.when(core.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), core.try_cast(DEC))
+    value = F.when(core.rlike(NUMBER), core.try_cast(DEC))
     return F.when(token.rlike(r"^\s*[({]|\)\s*$"), -value).otherwise(value)
 
 
+def out_of_range(token: Column) -> Column:
+    """Whether token is a number that no amount column can hold. Such a number fails its document."""
+    core = F.replace(F.replace(F.regexp_replace(token, r"^\s*[({]?\s*|\s*\)?\s*$", ""), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    return F.coalesce((F.length(core) > 9) & core.rlike(NUMBER) & core.try_cast(DEC).isNull(), F.lit(False)) | F.coalesce(core.rlike("[0-9][eE]") & core.rlike(NUMBER) & core.try_cast(DEC).isNull(), F.lit(False))
+
+
 def find_amounts(text: Column) -> Column:
     """All number tokens of a text, in order."""
     return F.regexp_extract_all(text, F.lit(f"({AMOUNT_TOKEN})"), 1)

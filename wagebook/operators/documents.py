@@ -6,6 +6,7 @@ and compact. Operators over neighbouring rows use windows partitioned by doc_id,
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from wagebook.functions import columns as C
 from wagebook.functions import ids as I
 from wagebook.functions import text as X
 
+#: The note of figurative values. Labels and patterns of the layouts, here and below, are fixed as well.
 FIGURATIVE = "valore esclusivamente figurativo (non concorre al netto)"
 
 
@@ -43,13 +45,16 @@ def has(text: str) -> Column:
 class TemplateProfile:
     """A layout: its name, parser version, and a condition over rows of the first page, any(...) of which recognises it.
 
-    every: further conditions, each of which must hold for some row.
+    every: further conditions, each of which must hold for some row. mapping: rows of its documents -> tables by name, any
+    of header, period, lines, totals, tax, tfr, leave and unmapped, each with doc_id and fields as the operators of the
+    known layouts give them; what a table or mapping leaves out is null. mapped_lines and mapped_totals help with that.
     """
 
     name: str
     version: str
     found: Column
     every: list[Column] = field(default_factory=list)
+    mapping: Callable[[DataFrame], dict[str, DataFrame]] | None = None
 
 
 def detect_z() -> Column:
@@ -218,9 +223,10 @@ def period_z(header: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def period_c(rows: DataFrame) -> DataFrame:
-    """A thirteenth-month mark in any row comes before a month in any row; both in compacted text."""
+    """A thirteenth-month mark in any row of page 1 comes before a month in any of its rows; both in compacted text."""
     p13, pm = r"(?i)(13[-]?esima(\d{4}))", rf"(?i)({MONTHS_RE}(\d{{4}}))"
     a, b = F.col("compact").rlike(p13), F.col("compact").rlike(pm)
+    a, b = a & (F.col("page") == 1), b & (F.col("page") == 1)
     r = rows.groupBy("doc_id").agg(*[_first(_g(p13, k, "compact"), a).alias(f"a{k}") for k in (1, 2)], *[_first(_g(pm, k, "compact"), b).alias(f"b{k}") for k in (1, 2, 3)])
     extra = F.col("a1").isNotNull()
     month = F.when(extra, 12).otherwise(F.coalesce(X.month_number(F.col("b2")), F.lit(0)))
@@ -228,8 +234,9 @@ def period_c(rows: DataFrame) -> DataFrame:
 
 
 def period_s(rows: DataFrame) -> DataFrame:
+    """The first row of page 1 with a month and a year."""
     p = rf"(?i){MONTHS_RE}\s+(\d{{4}})"
-    r = rows.groupBy("doc_id").agg(*[_first(c, F.col("text").rlike(p)).alias(n) for n, c in (("m", _g(p, 1)), ("y", _g(p, 2)), ("t", F.col("text")))])
+    r = rows.groupBy("doc_id").agg(*[_first(c, F.col("text").rlike(p) & (F.col("page") == 1)).alias(n) for n, c in (("m", _g(p, 1)), ("y", _g(p, 2)), ("t", F.col("text")))])
     return r.select("doc_id", F.coalesce(X.month_number(F.col("m")), F.lit(0)).alias("mese"), F.coalesce(F.col("y").try_cast("int"), F.lit(0)).alias("anno"), F.when(F.lower("t").contains("tredicesima"), EXTRA).otherwise(ORDINARY).alias("tipo"), F.coalesce(F.trim("t"), F.lit("")).alias("label"))
 
 
@@ -363,12 +370,48 @@ def pay_lines_s(rows: DataFrame) -> DataFrame:
     return r.withColumns(fields).drop("d", "v", "c0", "zv")
 
 
+def mapped_lines(rows: DataFrame, begins: str, ends: str, code: str, values_from: float, earnings_from: float) -> tuple[DataFrame, DataFrame]:
+    """(pay lines, other rows) of a registered layout: rows between those that contain two labels, whose first word fits
+    code; words left of values_from describe, the last amount is an earning from earnings_from on, else a deduction."""
+    r = _described(_between(rows, has(begins), has(ends)), code, values_from)
+    last = F.try_element_at(X.amounts(F.col("v")), F.lit(-1))
+    earned = last["x0"] >= earnings_from
+    null = F.lit(None)
+    fields = {
+        "codice": F.col("c0"), "categoria": C.classify(F.col("descrizione")), "importo_base": null.cast(X.DEC), "quantita": null.cast(X.DEC), "unita": null.cast("string"), "aliquota": null.cast(X.DEC),
+        "trattenuta": F.when(~earned, F.abs(last["amt"])), "competenza": F.when(earned, last["amt"]), "raw_text": F.col("text"), "note": null.cast("string"),
+    }
+    return r.where("is_line").withColumns(fields).select(*LINE), r.where("not is_line").select("doc_id", "doc_row", "text")
+
+
+def mapped_totals(rows: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """Totals of a registered layout: field -> label; the first amount after the label in the last row that contains it.
+    The IBAN is the first word that looks like one."""
+    acct = F.get(F.filter("words", lambda w: I.iban_format(w["text"])), F.lit(0))["text"]
+    found = [_last(X.amount_after_label(F.col("words"), X.label(t)), has(t)).alias(f) for f, t in labels.items()]
+    return rows.groupBy("doc_id").agg(*found, _first(acct, acct.isNotNull()).alias("iban"))
+
+
+def out_of_range(lines: DataFrame, rows: DataFrame) -> DataFrame:
+    """doc_id, error of documents with a number that no amount column can hold, in a pay line or a row of totals.
+
+    lines: section rows with is_line and words; rows: all rows of a layout. Numbers elsewhere, as account numbers, are no
+    amounts."""
+    bad = lambda c: F.exists(c, lambda w: X.out_of_range(w["text"]))
+    total = has("TOTALE COMPETENZE") | has("TOTALE TRATTENUTE") | has("Totale Ritenute")
+    at = rows.select("doc_id", "words", F.lag(total, 1, False).over(in_doc()).alias("under"), total.alias("total"))
+    at = at.where(F.col("total") | F.col("under")).where(bad("words"))
+    hit = lines.where("is_line").where(bad(F.slice("words", F.lit(2), F.size("words")))).select("doc_id").unionByName(at.select("doc_id"))
+    return hit.distinct().withColumn("error", F.lit("number out of range"))
+
+
 def unmapped_rows(rows: DataFrame) -> DataFrame:
     """doc_id, texts (in order), n_with_amount, of rows that are no lines."""
     r = rows.where(F.trim("text") != "").groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("doc_row", "text"))), lambda x: x["text"]).alias("texts"), F.count_if(X.has_amount(F.col("text"))).alias("n_with_amount"))
     return r
 
 
+#: Pay codes of layout z that are tax fields.
 TAX_CODES = {"F02000": "imponibile_irpef", "F02010": "irpef_lorda", "F02500": "detrazioni_lav_dip", "F03020": "ritenute_irpef"}
 
 
@@ -403,7 +446,7 @@ def tax_c(rows: DataFrame) -> DataFrame:
     after = lambda k: X.first_amount(F.slice("words", F.lit(k), F.size("words")))
     cvl, ac = w0.rlike(r"(?i)^CvL\d{3}$"), F.coalesce(F.upper(w1) == "AC", F.lit(False))
     def last(value: Column, cond: Column) -> Column:
-        return F.max_by(value, F.when(cond, F.col("doc_row")))
+        return F.max_by(F.when(cond, value), F.when(cond, F.col("doc_row")))
     return rows.groupBy("doc_id").agg(
         last(after(2), w0.rlike(r"^\d{4}IM$")).alias("imponibile_irpef"), last(after(2), w0.rlike(r"^\d{4}RM$")).alias("irpef_lorda"), last(after(2), F.upper(w0) == "DETRFI").alias("detrazioni_lav_dip"),
         last(after(2), F.upper(w0) == "IRPEF").alias("ritenute_irpef"), last(after(3), cvl & ac).alias("acconto_addizionale_comunale"), last(after(2), cvl & ~ac).alias("addizionale_comunale"),
@@ -568,10 +611,10 @@ def totals_z(rows: DataFrame) -> DataFrame:
     lab = F.when(has("TOTALE COMPETENZE"), "e").when(has("TOTALE TRATTENUTE"), "d").when(F.col("norm") == X.label("NETTO DEL MESE"), "n").when(F.col("norm").contains("iban"), "i")
     net = F.coalesce(*[X.first_amount(F.lead("words", k).over(in_doc())) for k in (1, 2)])
     p = r"IBAN\s+([A-Z]{2}\s*[A-Z0-9\s]+)"
-    r = rows.withColumns({"lab": lab, "net": net})
+    r = rows.withColumn("lab", lab).withColumn("net", F.when(F.col("lab") == "n", net))
     k = lambda x: F.col("lab") == x
     return r.groupBy("doc_id").agg(
-        F.max_by(X.amount_after_label(F.col("words"), X.label("TOTALE COMPETENZE")), F.when(k("e"), F.col("doc_row"))).alias("totale_competenze"), F.max_by(X.amount_after_label(F.col("words"), X.label("TOTALE TRATTENUTE")), F.when(k("d"), F.col("doc_row"))).alias("totale_trattenute"),
+        _last(X.amount_after_label(F.col("words"), X.label("TOTALE COMPETENZE")), k("e")).alias("totale_competenze"), _last(X.amount_after_label(F.col("words"), X.label("TOTALE TRATTENUTE")), k("d")).alias("totale_trattenute"),
         _last(F.col("net"), k("n") & F.col("net").isNotNull()).alias("netto_mese"), _last(F.regexp_replace(_g(p, 1), r"\s+", ""), k("i") & F.col("text").rlike(p)).alias("iban"),
     )
 
@@ -580,14 +623,16 @@ def totals_c(rows: DataFrame) -> DataFrame:
     """First and last amount under the last grand-total row (split amounts joined), IBAN in the row of the net label or the
     one before, net in the four rows under it."""
     plain = lambda c: F.transform(c, lambda w: F.struct(w["text"].alias("text"), w["x0"].alias("x0"), w["x1"].alias("x1"), w["top"].alias("top"), w["bottom"].alias("bottom")))
-    r = rows.withColumn("nxt", F.lead("words").over(in_doc()))
-    r = r.withColumn("tv", X.amounts(X.enriched(C.repair_split_amounts(plain("nxt")))))
-    total = has("Totale Ritenute") & has("Totale Competenze") & (F.size("tv") > 0)
+    r = rows.withColumn("nxt", F.lead("words").over(in_doc())).withColumn("is_total", has("Totale Ritenute") & has("Totale Competenze"))
+    r = r.withColumn("tv", F.when(F.col("is_total"), X.amounts(X.enriched(C.repair_split_amounts(plain("nxt"))))))
+    total = F.col("is_total") & (F.size("tv") > 0)
     first, last = F.get("tv", F.lit(0))["amt"], F.try_element_at("tv", F.lit(-1))["amt"]
     netto = F.col("norm").contains("netto") & F.col("norm").contains("pagare")
-    acct = F.coalesce(C.find_iban(F.col("words")), C.find_iban(F.lag("words").over(in_doc())))
-    net = F.coalesce(*[X.first_amount(F.lead("words", k).over(in_doc())) for k in (1, 2, 3, 4)])
-    r = r.withColumns({"acct": acct, "net": net})
+    r = r.withColumns({f"w{k}": F.lead("words", k).over(in_doc()) for k in (-1, 1, 2, 3, 4)}).withColumn("netto", netto)
+    acct = F.coalesce(C.find_iban(F.col("words")), C.find_iban(F.col("w-1")))
+    net = F.coalesce(*[X.first_amount(F.col(f"w{k}")) for k in (1, 2, 3, 4)])
+    r = r.withColumns({"acct": F.when(F.col("netto"), acct), "net": F.when(F.col("netto"), net)})
+    netto = F.col("netto")
     two = F.size("tv") >= 2
     return r.groupBy("doc_id").agg(_last(last, total).alias("totale_competenze"), _last(first, total & two).alias("totale_trattenute"), _last(F.col("net"), netto & F.col("net").isNotNull()).alias("netto_mese"), _last(F.col("acct"), netto & F.col("acct").isNotNull()).alias("iban"))
 

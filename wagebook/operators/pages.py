@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,17 +39,6 @@ def _arrays(rows: DataFrame, order: list[str]) -> DataFrame:
     return rows.groupBy(*PAGE).agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["w"]).alias("w"))
 
 
-def _words_of(chars: list[dict]) -> list[dict]:
-    out: list[dict] = []
-    for c in chars:
-        last = out[-1] if out else None
-        if last is None or abs(c["top"] - last["top"]) > ROW_GAP or abs(c["x0"] - last["x0"]) > X_JUMP:
-            out.append(dict(c))
-        else:
-            last.update(text=last["text"] + c["text"], x0=min(last["x0"], c["x0"]), x1=max(last["x1"], c["x1"]), bottom=max(last["bottom"], c["bottom"]))
-    return out
-
-
 def _rows_of(words: pa.ListArray) -> pa.ListArray:
     """Rows of each page, whose words come sorted by (top, x0). A row's anchor is its first word's top; texts are not
     touched, words are only put in order by x0 within their rows."""
@@ -72,8 +62,26 @@ def _rows_of(words: pa.ListArray) -> pa.ListArray:
 
 
 def _words_in(chars: pa.ListArray) -> pa.ListArray:
-    kind = pa.list_(pa.struct([("text", pa.string()), *[(c, pa.float64()) for c in ("x0", "x1", "top", "bottom")]]))
-    return pa.array([_words_of(c) for c in chars.to_pylist()], kind)
+    """Words of each page, whose characters come in stream order. The state along a page is the top of the word's first
+    character and its least x0 so far; texts and extents are put together for all words at once."""
+    ends = chars.offsets.to_numpy().astype(np.int64)
+    flat, ends = chars.values.slice(ends[0], ends[-1] - ends[0]), ends - ends[0]
+    top, x0, x1, bottom = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("top", "x0", "x1", "bottom"))
+    begins, tops, lefts = [], top.tolist(), x0.tolist()
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        height = None
+        for i in range(a, b):
+            if height is None or abs(tops[i] - height) > ROW_GAP or abs(lefts[i] - least) > X_JUMP:  # noqa: F821
+                begins.append(i)
+                height, least = tops[i], lefts[i]
+            else:
+                least = min(least, lefts[i])
+    at = np.array(begins, dtype=np.int64)
+    texts = pa.ListArray.from_arrays(pa.array(np.append(at, len(top)), pa.int32()), pc.fill_null(flat.field("text"), ""))
+    some = len(at) > 0
+    extents = [np.minimum.reduceat(x0, at), np.maximum.reduceat(x1, at), top[at], np.maximum.reduceat(bottom, at)] if some else [np.zeros(0)] * 4
+    words = pa.StructArray.from_arrays([pc.binary_join(texts, ""), *map(pa.array, extents)], ["text", "x0", "x1", "top", "bottom"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(at, ends), pa.int32()), words)
 
 
 def _mapped(pages: DataFrame, fn, kind: str, name: str) -> DataFrame:

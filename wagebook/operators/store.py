@@ -25,14 +25,22 @@ def skip_known(files: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFr
     return files.join(done, "sha256", "left_anti"), files.join(done, "sha256", "left_semi")
 
 
-def dedup_batch(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(kept, skipped) of outcomes (sha256, filename, status) in filename order: of a good sha256 the first file is kept and
-    the others skipped, of one that needs review the last replaces those before (neither kept nor skipped), failures all
-    stay. Copies are ranked by aggregation, not by a window, so a file with very many copies is no hot spot."""
-    per = outcomes.groupBy("sha256").agg(F.min("filename").alias("first"), F.max("filename").alias("last"))
-    o = outcomes.join(per, "sha256")
-    keep = F.when(F.col("status").isin(OK), F.col("filename") == F.col("first")).when(F.col("status") == "NEEDS_REVIEW", F.col("filename") == F.col("last")).otherwise(True)
-    return o.where(keep).drop("first", "last"), o.where(~keep & F.col("status").isin(OK)).drop("first", "last")
+def dedup_batch(outcomes: DataFrame, salts: int = 64) -> tuple[DataFrame, DataFrame]:
+    """(kept, skipped) of outcomes (sha256, filename, status) in filename order. Of a sha256 the first file with a good
+    outcome is kept and all good ones after it are skipped. Where none is good, the last that needs review replaces those
+    before it (neither kept nor skipped). A file that comes before the good one and needs review is replaced by it; one
+    that comes after is skipped, as it is not read again. Failures before the good file all stay; those after are skipped.
+
+    Copies are ranked by aggregation, not by a window, and joined by sha256 and salt, so a file with very many copies is
+    no hot spot.
+    """
+    good, review = F.col("status").isin(OK), F.col("status") == "NEEDS_REVIEW"
+    per = outcomes.groupBy("sha256").agg(F.min(F.when(good, F.col("filename"))).alias("first"), F.max(F.when(review, F.col("filename"))).alias("last"))
+    per = per.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    o = outcomes.withColumn("salt", F.pmod(F.xxhash64("filename"), F.lit(salts)).cast("int")).join(per, ["sha256", "salt"]).drop("salt")
+    after = F.coalesce(F.col("filename") > F.col("first"), F.lit(False))
+    keep = ~after & F.when(good, True).when(review, F.col("first").isNull() & (F.col("filename") == F.col("last"))).otherwise(True)
+    return o.where(keep).select(*outcomes.columns), o.where(after).select(*outcomes.columns)
 
 
 def replace_documents(tables: dict[str, DataFrame], ids: DataFrame, new: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
@@ -130,30 +138,34 @@ def child_table(parsed: DataFrame, docs: DataFrame, name: str) -> DataFrame:
 
 
 def audit_constraints(tables: dict[str, DataFrame]) -> DataFrame:
-    """table, check, key of each row that breaks a rule: required, length, range, month, severity, one per document, orphan."""
-    found = []
-
-    def add(name: str, check: str, rows: DataFrame, key: str = "id") -> None:
-        found.append(rows.select(F.lit(name).alias("table"), F.lit(check).alias("check"), F.col(key).cast("string").alias("key")))
+    """table, check, key of each row that breaks a rule: required, length, range, month, severity, one per document, orphan.
 
+    All checks of single rows are made in one pass over a table.
+    """
+    found = []
     for name, df in tables.items():
+        checks = {}
         for c, kind, required in schemas.columns(name):
             if c not in df.columns:
                 continue
             if required:
-                add(name, f"required:{c}", df.where(F.col(c).isNull()))
+                checks[f"required:{c}"] = F.col(c).isNull()
             if (n := schemas.LENGTHS.get((name, c))) is not None:
-                add(name, f"length:{c}", df.where(F.length(c) > n))
+                checks[f"length:{c}"] = F.length(c) > n
             if kind.startswith("decimal") and df.schema[c].dataType.simpleString() != kind:
-                add(name, f"range:{c}", df.where(F.col(c).isNotNull() & F.col(c).cast("string").try_cast(kind).isNull()))
+                checks[f"range:{c}"] = F.col(c).isNotNull() & F.col(c).cast("string").try_cast(kind).isNull()
+        if name == "payroll_period" and "mese" in df.columns:
+            checks["month"] = ~F.col("mese").between(1, 12)
+        if name == "anomaly" and "severita" in df.columns:
+            checks["severity"] = ~F.col("severita").isin("info", "warning", "error")
+        if checks:
+            broken = F.filter(F.array(*[F.when(bad, F.lit(k)) for k, bad in checks.items()]), lambda x: x.isNotNull())
+            found.append(df.select(F.lit(name).alias("table"), F.explode(broken).alias("check"), F.col("id").cast("string").alias("key")))
         if name in schemas.ONE_PER_DOCUMENT:
-            add(name, "one_per_document", df.groupBy("document_id").count().where("count > 1"), "document_id")
+            found.append(df.groupBy("document_id").count().where("count > 1").select(F.lit(name).alias("table"), F.lit("one_per_document").alias("check"), F.col("document_id").cast("string").alias("key")))
         if name in schemas.CHILDREN and "payroll_document" in tables:
-            add(name, "orphan", df.where("document_id is not null").join(tables["payroll_document"].select(F.col("id").alias("document_id")), "document_id", "left_anti"))
-    if "payroll_period" in tables:
-        add("payroll_period", "month", tables["payroll_period"].where(~F.col("mese").between(1, 12)))
-    if "anomaly" in tables:
-        add("anomaly", "severity", tables["anomaly"].where(~F.col("severita").isin("info", "warning", "error")))
+            orphans = df.where("document_id is not null").join(tables["payroll_document"].select(F.col("id").alias("document_id")), "document_id", "left_anti")
+            found.append(orphans.select(F.lit(name).alias("table"), F.lit("orphan").alias("check"), F.col("id").cast("string").alias("key")))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -182,10 +194,11 @@ def isolate(df: DataFrame, error: Column) -> tuple[DataFrame, DataFrame]:
 
 
 def destination_path(docs: DataFrame) -> DataFrame:
-    """docs with destination: error/, processed/<year>/<month>/ or processed/non_riconosciuti/, named by sha256 and file."""
+    """docs with destination: error/, processed/duplicati/ (skipped), processed/<year>/<month>/ or
+    processed/non_riconosciuti/, the last two named by sha256 and file."""
     name = F.concat(F.substring("sha256", 1, 8), F.lit("_"), F.col("filename"))
     dated = F.coalesce((F.col("mese") > 0) & (F.col("anno") > 0), F.lit(False))
-    path = F.when(F.col("status") == "FAILED", F.concat(F.lit("error/"), F.col("filename"))).when(dated, F.concat(F.lit("processed/"), F.col("anno").cast("string"), F.lit("/"), F.lpad(F.col("mese").cast("string"), 2, "0"), F.lit("/"), name))
+    path = F.when(F.col("status") == "FAILED", F.concat(F.lit("error/"), F.col("filename"))).when(F.col("status") == "SKIPPED", F.concat(F.lit("processed/duplicati/"), F.col("filename"))).when(dated, F.concat(F.lit("processed/"), F.col("anno").cast("string"), F.lit("/"), F.lpad(F.col("mese").cast("string"), 2, "0"), F.lit("/"), name))
     return docs.withColumn("destination", path.otherwise(F.concat(F.lit("processed/non_riconosciuti/"), name)))
 
 

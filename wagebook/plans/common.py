@@ -25,7 +25,17 @@ def words(spark: SparkSession, sf_dir: str, layout: int | None = None) -> DataFr
 
 
 def rows(spark: SparkSession, sf_dir: str, layout: int | None = None) -> DataFrame:
-    return D.prepared(P.number_rows(P.cluster_rows(P.drop_sidebar(words(spark, sf_dir, layout)))))
+    return rows_of(words(spark, sf_dir, layout))
+
+
+def rows_of(words: DataFrame) -> DataFrame:
+    return D.prepared(P.number_rows(P.cluster_rows(P.drop_sidebar(words))))
+
+
+def with_second_page(words: DataFrame, text: str) -> DataFrame:
+    """words with a second page for each document, of one word."""
+    more = words.select("doc_id").distinct().select("doc_id", F.lit(2).alias("page"), F.lit(0).alias("seq"), F.lit(text).alias("text"), *[F.lit(float(x)).alias(c) for c, x in (("x0", 300), ("x1", 380), ("top", 100), ("bottom", 110))])
+    return words.unionByName(more)
 
 
 #: SQL over the tables: s payslips, l lines, t sums, d payslips with sums, cf and IBAN.

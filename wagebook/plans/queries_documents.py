@@ -11,10 +11,13 @@ from wagebook.plans import common as K
 from wagebook.plans.common import WITH, edge, table
 
 QUERIES: dict[str, tuple] = {}
+#: SQL of each query without the common tables that it stands on.
+BARE: dict[str, str] = {}
 
 
 def add(name: str, sql: str | None = None, head: str = WITH):
     def put(fn):
+        BARE[name] = sql
         QUERIES[name] = (lambda s, d: edge(fn(s, d)), head + sql if sql else None)
         return fn
 
@@ -57,6 +60,29 @@ def u1(s, d):
     return D.find_template(rows(s, d), own)
 
 
+OWN_TOTALS = {"totale_competenze": "Emolumenti correnti"}
+
+
+def own_layout() -> D.TemplateProfile:
+    """A fourth layout made of parameters alone: it reads the contribution section and a total of what render.py prints in
+    layout s."""
+    def mapping(r):
+        lines, other = D.mapped_lines(r, "TRATTENUTE PREVIDENZIALI", "ADDIZIONALI", "^[A-Z][0-9]{3}$", 300.0, 520.0)
+        return {"lines": lines, "unmapped": other, "totals": D.mapped_totals(r, OWN_TOTALS), "period": D.period_s(r)}
+
+    return D.TemplateProfile("own", "3.0", D.has("Emolumenti correnti"), [D.has("NETTO")], mapping)
+
+
+@add("u1_registered_mapping", """SELECT doc_id, 'own' AS template, '3.0' AS parser_version, CAST(mese AS BIGINT) AS mese, CAST(anno AS BIGINT) AS anno, 'Z300' AS codice, 'Contributo' AS descrizione, deduct AS trattenuta, earn AS totale_competenze, iban,
+  '/300 x' AS unmapped FROM d WHERE layout = 2""")
+def u1_mapping(s, d):
+    from wagebook.plans import process
+
+    p = process.parse_words(K.words(s, d, 2), registry=[own_layout()])
+    out = p.docs.join(p.lines.select("doc_id", "codice", "descrizione", "trattenuta"), "doc_id").join(p.totals.select("doc_id", "totale_competenze", "iban"), "doc_id")
+    return out.join(p.unmapped.select("doc_id", F.array_join("texts", " | ").alias("unmapped")), "doc_id").select("doc_id", "template", "parser_version", "mese", "anno", "codice", "descrizione", "trattenuta", "totale_competenze", "iban", "unmapped")
+
+
 @add("e1_header_z", f"""SELECT doc_id, '1000' || {NAT2} AS codice_azienda, 'SOCIETA N' || {NAT2} || ' SPA' AS ragione_sociale, 'Via Roma 1, 20100 MILANO (MI)' AS indirizzo, '12345' AS inail_aut, '001' AS inail_del,
   '002' AS inail_sede, '1234567/01' AS posizione_inps, '7654321/01' AS pat_inail, lpad(CAST(cust % 10000000 AS VARCHAR), 7, '0') AS matricola, 'ROSSI MARIO' AS cognome_nome, cf_printed AS codice_fiscale,
   '15-03-2020' AS hire_text, 'TipoCosto ' || {MONTH} || ' ' || anno AS tipo_costo FROM d WHERE layout = 0""")
@@ -91,12 +117,13 @@ def e4(s, d):
 
 @add("e5_period_c", PERIOD.format(f"{MONTH} || anno", 1))
 def e5(s, d):
-    return D.period_c(rows(s, d, 1))
+    """A second page names another month and a thirteenth one, which count for nothing."""
+    return D.period_c(K.rows_of(K.with_second_page(K.words(s, d, 1), "13-esima1999Marzo1999")))
 
 
 @add("e6_period_s", PERIOD.format(f"{MONTH} || ' ' || anno", 2))
 def e6(s, d):
-    return D.period_s(rows(s, d, 2))
+    return D.period_s(K.rows_of(K.with_second_page(K.words(s, d, 2), "Marzo 1999 tredicesima")))
 
 
 @add("e7_gate_cf", "SELECT doc_id, cf AS codice_fiscale, cf_printed AS cf_original, k % 11 = 0 AS cf_invalid FROM d WHERE layout = 1")

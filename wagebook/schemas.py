@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-WORD = T.StructType([T.StructField("text", T.StringType())] + [T.StructField(c, T.DoubleType()) for c in ("x0", "x1", "top", "bottom")])
 WORDS = "doc_id string, page int, seq int, text string, x0 double, x1 double, top double, bottom double"
-ROWS = "doc_id string, page int, row_idx int, top double, words array<struct<text:string,x0:double,x1:double,top:double,bottom:double>>"
 
 _DEC = "decimal(14,5)"
 #: Table -> columns; a column marked ! is never null. The order is safe for foreign keys.
@@ -28,11 +24,16 @@ TABLES: dict[str, str] = {
 VERSION = "1.0.0"
 CHILDREN = ["pay_line", "tax", "tfr", "leave_balance", "payroll_totals", "anomaly", "raw_extraction", "audit_event"]
 ONE_PER_DOCUMENT = ["tax", "tfr", "payroll_totals", "raw_extraction"]
-#: Longest text of a column.
+#: Longest text of each column.
 LENGTHS = {
-    ("company", "ragione_sociale"): 255, ("company", "codice_azienda"): 20, ("employee", "cognome_nome"): 255, ("employee", "codice_fiscale"): 16,
-    ("payroll_document", "sha256"): 64, ("payroll_document", "original_filename"): 255, ("pay_line", "codice_causale"): 20, ("pay_line", "descrizione"): 255,
-    ("pay_line", "unita"): 10, ("payroll_totals", "iban"): 34,
+    ("company", "ragione_sociale"): 255, ("company", "indirizzo"): 255, ("company", "codice_azienda"): 32, ("company", "inail_aut"): 32, ("company", "inail_del"): 32,
+    ("company", "inail_sede"): 32, ("company", "posizione_inps"): 64, ("company", "pat_inail"): 64, ("employee", "cognome_nome"): 255, ("employee", "codice_fiscale"): 16,
+    ("employment", "matricola"): 32, ("payroll_period", "tipo"): 32, ("payroll_period", "label_originale"): 64,
+    ("payroll_document", "sha256"): 64, ("payroll_document", "original_filename"): 255, ("payroll_document", "status"): 32, ("payroll_document", "template_name"): 64,
+    ("payroll_document", "parser_version"): 32, ("payroll_document", "processed_path"): 512, ("payroll_document", "error_path"): 512,
+    ("pay_line", "codice_causale"): 16, ("pay_line", "descrizione"): 255, ("pay_line", "categoria"): 32, ("pay_line", "unita"): 8, ("tax", "addizionale_regionale_regione"): 64,
+    ("leave_balance", "tipo"): 32, ("payroll_totals", "iban"): 34, ("payroll_totals", "banca"): 255, ("anomaly", "tipo"): 64, ("anomaly", "severita"): 16, ("anomaly", "campo"): 64,
+    ("audit_event", "run_id"): 64, ("audit_event", "event_type"): 64,
 }
 
 

@@ -34,25 +34,22 @@ def italian(value: Column) -> Column:
     return F.translate(F.format_number(value, 2), ",.", ".,")
 
 
-def views(spark: SparkSession, sf_dir: str) -> None:
-    for t in ("orders", "customer", "lineitem", "nation"):
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(f"src_{t}")
-
-
-def _sql(spark: SparkSession, text: str) -> DataFrame:
+def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """text over the tables of sf_dir, which are given with the query, so that no view of the session is made."""
+    tables = {}
     for t in ("orders", "customer", "lineitem"):
-        text = text.replace(f"FROM {t}", f"FROM src_{t}").replace(f"JOIN {t}", f"JOIN src_{t}")
-    return spark.sql(text)
+        if f"FROM {t}" in text or f"JOIN {t}" in text:
+            text = text.replace(f"FROM {t}", f"FROM {{{t}}}").replace(f"JOIN {t}", f"JOIN {{{t}}}")
+            tables[t] = spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    return spark.sql(text, **tables)
 
 
 def slips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views(spark, sf_dir)
-    return _sql(spark, SLIPS)
+    return _sql(spark, sf_dir, SLIPS)
 
 
 def slip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views(spark, sf_dir)
-    return _sql(spark, LINES)
+    return _sql(spark, sf_dir, LINES)
 
 
 def first15(cust: Column) -> Column:
