@@ -65,13 +65,15 @@ def attached(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     return rows.join(groups.withColumn("salt", F.explode("salts")).drop("salts"), [key, "salt"]).drop("salt")
 
 
-def by_small(rows: DataFrame, small: DataFrame, key: list[str], on: Column, salts: int = 64, how: str = "left") -> DataFrame:
+def by_small(rows: DataFrame, small: DataFrame, key: list[str], on: Column, salts: int = 64, how: str = "left", grows: bool = False) -> DataFrame:
     """rows joined with an aggregated table that has one row per key.
 
     The table is repeated once per salt, so that a key with a third of all rows is spread over `salts` tasks; where the
-    table is small enough by Spark's own threshold, Spark broadcasts it instead. A null key finds nothing.
+    table is small enough by Spark's own threshold, Spark broadcasts it instead. grows: the table grows with the input,
+    so it is never broadcast. A null key finds nothing.
     """
     spread = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = spread.hint("merge") if grows else spread
     return salted(rows, on, salts).join(spread, [*key, "salt"], how).drop("salt")
 
 

@@ -11,7 +11,7 @@
    rarest shingles (prefix filter), which loses no pair: two sets over the threshold share one of them. Only pairs of
    different components leave the join.
 
-No join meets a key unsalted that very many rows can have: buckets are joined by key and salt, and pivots and hubs of
+What grows with the input is never broadcast. No join meets a key unsalted that very many rows can have: buckets are joined by key and salt, and pivots and hubs of
 components get a copy for each of their salts.
 """
 
@@ -144,7 +144,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows = rows.withColumnRenamed("salt", "salt_a")
     for x, hubs in (("b", hubs_b), ("a", hubs_a)):
         side = _copies(sets.select(F.col("c").alias(x), F.col("shingles").alias(f"s{x}")), hubs, x).withColumnRenamed("salt", f"salt_{x}")
-        rows = rows.join(side, [x, f"salt_{x}"])
+        rows = rows.join(side.hint("merge"), [x, f"salt_{x}"])
     both = F.size(F.array_intersect("sa", "sb"))
     return rows.where(both * 100 >= (F.size("sa") + F.size("sb") - both) * percent).select("a", "b")
 
@@ -162,11 +162,11 @@ def components(edges: DataFrame) -> DataFrame:
     label = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("comp")).withColumnRenamed("a", "c"))
     while True:
         at = _copies(label.select(F.col("c").alias("b"), F.col("comp").alias("nb")), hubs, "b")
-        near = both.join(at, ["b", "salt"]).groupBy("a").agg(F.min("nb").alias("nb"))
+        near = both.join(at.hint("merge"), ["b", "salt"]).groupBy("a").agg(F.min("nb").alias("nb"))
         hooked = label.join(near, label["c"] == near["a"]).select("c", "comp", F.least("comp", "nb").alias("low"))
         # The label's own node takes the lower label too, so that whole trees move.
         roots = hooked.groupBy("comp").agg(F.min("low").alias("deep")).withColumnRenamed("comp", "low")
-        moved = by_small(hooked, roots, ["low"], F.col("c"), BUCKET_SALTS)
+        moved = by_small(hooked, roots, ["low"], F.col("c"), BUCKET_SALTS, grows=True)
         new = written(moved.select("c", F.least("low", F.coalesce("deep", "low")).alias("comp"), (F.least("low", F.coalesce("deep", "low")) < F.col("comp")).alias("changed")))
         label = new.select("c", "comp")
         if not new.where("changed").limit(1).count():
@@ -175,17 +175,17 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _labels(nodes: DataFrame, merged: DataFrame) -> DataFrame:
     """nodes (c, ...) with comp. A pivot may be in very many rows."""
-    return by_small(nodes, merged, ["c"], F.monotonically_increasing_id(), BUCKET_SALTS).withColumn("comp", F.coalesce("comp", "c"))
+    return by_small(nodes, merged, ["c"], F.monotonically_increasing_id(), BUCKET_SALTS, grows=True).withColumn("comp", F.coalesce("comp", "c"))
 
 
 def bucket_keys(classes: DataFrame) -> DataFrame:
     """(key, c, n, bits) of classes (c, n, halves, bits): their table keys, but for those that no other class can share."""
     halves = classes.select("c", F.posexplode("halves").alias("t", "x")).withColumn("half", F.xxhash64("t", "x"))
     shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("half")
-    mine = by_small(halves, shared, ["half"], F.col("c"), BUCKET_SALTS, "left_semi").groupBy("c").agg(F.array_sort(F.collect_list(F.struct("t", "x"))).alias("h"))
+    mine = by_small(halves, shared, ["half"], F.col("c"), BUCKET_SALTS, "left_semi", True).groupBy("c").agg(F.array_sort(F.collect_list(F.struct("t", "x"))).alias("h"))
     pairs = F.flatten(F.transform("h", lambda p, i: F.transform(F.slice("h", i + 2, F.size("h")), lambda q: F.struct((p["t"] * HALVES + q["t"]).alias("t"), p["x"].alias("x"), q["x"].alias("y")))))
     keys = mine.where(F.size("h") > 1).select("c", F.explode(pairs).alias("k")).select("c", F.xxhash64("k.t", "k.x", "k.y").alias("key"))
-    return keys.join(classes.select("c", "n", "bits"), "c").select("key", "c", "n", "bits")
+    return keys.join(classes.select("c", "n", "bits").hint("merge"), "c").select("key", "c", "n", "bits")
 
 
 def class_components(texts: DataFrame, classes: DataFrame, shingle_words: int, percent: int) -> DataFrame:
@@ -195,13 +195,13 @@ def class_components(texts: DataFrame, classes: DataFrame, shingle_words: int, p
     buckets = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("c", "n", "bits")).alias("pivot")).where("size > 1")
     buckets = written(buckets.select("key", "size", F.col("pivot.c").alias("p"), F.col("pivot.n").alias("pn"), F.col("pivot.bits").alias("pb")))
     near = _near(F.col("n"), F.col("pn"), F.col("bits"), F.col("pb"), percent)
-    members = by_small(rows, buckets, ["key"], F.col("c"), BUCKET_SALTS, "inner")
+    members = by_small(rows, buckets, ["key"], F.col("c"), BUCKET_SALTS, "inner", True)
     members = written(members.select("key", "size", "p", "c", near.alias("near"), F.bit_count(F.col("bits").bitwiseXOR(F.col("pb"))).alias("off")))
     star = members.where("near and c <> p")
     needed = star.select(F.explode(F.array("c", "p")).alias("c")).union(members.where("size > 2").select("c")).distinct()
     wanted = written(classes.join(needed, "c").select("c", "id_key", "check"))
     # A row may repeat id and text: each is read, one set stays.
-    sets = texts.join(wanted, ["id_key", "check"]).select("c", "text").mapInArrow(_sets(shingle_words), "c long, shingles array<long>")
+    sets = texts.join(wanted.hint("merge"), ["id_key", "check"]).select("c", "text").mapInArrow(_sets(shingle_words), "c long, shingles array<long>")
     sets = written(sets.dropDuplicates(["c"]))
     # First each class with the most alike of its pivots, then what that leaves open.
     first = star.groupBy("c").agg(F.min_by("p", F.struct("off", "p")).alias("p")).select(F.col("c").alias("a"), F.col("p").alias("b"))
@@ -216,7 +216,7 @@ def class_components(texts: DataFrame, classes: DataFrame, shingle_words: int, p
     # Buckets of three and more whose members are not yet one component.
     many = written(_labels(members.where("size > 2").select("key", "c"), merged))
     open_keys = many.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    open_nodes = by_small(many, open_keys, ["key"], F.col("c"), BUCKET_SALTS, "left_semi").select("c", "comp").distinct()
+    open_nodes = by_small(many, open_keys, ["key"], F.col("c"), BUCKET_SALTS, "left_semi", True).select("c", "comp").distinct()
     open_nodes = written(open_nodes.join(classes.select("c", "n", "bits"), "c"))
     found = confirmed(written(prefix_pairs(open_nodes, sets, percent)), sets, percent)
     return components(written(links.union(found)))
@@ -237,7 +237,7 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows = written(prefix.join(nodes, "c"))
     counts = rows.groupBy("s", "comp").agg(F.count(F.lit(1)).alias("k"))
     tops = written(counts.groupBy("s").agg(F.max_by("comp", F.struct("k", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("s", "top"))
-    shared = written(by_small(rows, tops, ["s"], F.col("c"), BUCKET_SALTS, "inner"))
+    shared = written(by_small(rows, tops, ["s"], F.col("c"), BUCKET_SALTS, "inner", True))
     few = shared.where("comp <> top").select("s", *[F.col(c).alias(f"{c}1") for c in ("c", "comp", "n", "bits", "at")])
     pairs = few.join(shared, "s").where((F.col("comp1") != F.col("comp")) & ((F.col("comp") == F.col("top")) | (F.col("c1") < F.col("c"))))
     bound = F.least(F.col("n1") - F.col("at1"), F.col("n") - F.col("at"))
@@ -267,7 +267,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     comps = class_components(texts.select(id_key(F.col("id")).alias("id_key"), "check", "text"), of, shingle_words, percent)
     labelled = written(classes.select("set_hash", "salts", "c", "least").join(comps, "c", "left").withColumn("comp", F.coalesce("comp", "c")))
     named = labelled.groupBy("comp").agg(F.min("least").alias("first"))
-    labelled = by_small(labelled, named, ["comp"], F.col("c"), BUCKET_SALTS).select("set_hash", "salts", F.col("first.id").alias("component"), F.col("first.check").alias("stay"))
+    labelled = by_small(labelled, named, ["comp"], F.col("c"), BUCKET_SALTS, grows=True).select("set_hash", "salts", F.col("first.id").alias("component"), F.col("first.check").alias("stay"))
     alone = rows.where("n = 0").select("id", "check", "n", F.col("id").alias("component"), F.lit(True).alias("stays"))
     stays = F.col("id").eqNullSafe(F.col("component")) & (F.col("check") == F.col("stay"))
     return attached(rows.where("n > 0"), labelled, "set_hash").select("id", "check", "n", "component", stays.alias("stays")).unionByName(alone)
