@@ -1,7 +1,9 @@
 """The ten operators against brute force on a small table, with nulls, empties, ties, repeats and extra columns."""
 
 import base64
+import gzip
 import hashlib
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from wagebook.llm import bpe, exact, minhash, mixing, multiset, quality, sharding, toxicity, urls, warc
 from wagebook.llm.common import scratch
 
+TABLES = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -96,6 +99,22 @@ def test_exact_index_grows(spark):
     assert index.rows().count() == 4
 
 
+def test_exact_other_ids_nulls_and_repeats(spark):
+    rows = [("b", "x  y"), ("a", "x y"), (None, "x y"), (None, "only"), (None, "only"), ("c", "twice"), ("c", "twice"), ("d", "p  q"), ("d", "p q"), ("d", "other")]
+    df = spark.createDataFrame(rows, "key string, body string").withColumns({"row": F.lit(1), "id_key": F.lit(2), "stays": F.lit(3)}).repartition(3)
+    kept = exact.drop_copies(df, id_col="key", text_col="body")
+    assert kept.columns == df.columns
+    got = Counter((r["key"], normal(r["body"])) for r in kept.collect())
+    assert got == Counter([("a", "x y"), (None, "only"), ("c", "twice"), ("d", "p q"), ("d", "other")])
+    tables = [r["tableName"] for r in spark.sql("SHOW TABLES").collect() if r["tableName"].startswith("digest_index")]
+    exact.query(spark, df.selectExpr("key as doc_id", "body as text")).collect()
+    assert [r["tableName"] for r in spark.sql("SHOW TABLES").collect() if r["tableName"].startswith("digest_index")] == tables
+    index = exact.new_index(spark)
+    exact.exact_groups(df, index, "key", "body").collect()
+    assert sorted(map(tuple, index.compact().rows().collect()), key=str) == sorted(map(tuple, index.rows().collect()), key=str)
+    assert exact.drop_copies(df.limit(3), index, "key", "body").count() <= 3
+
+
 def shingles(text, k):
     words = (text or "").encode().lower().split()
     if not words:
@@ -153,6 +172,33 @@ def test_minhash_large_group_and_chain(spark):
     assert got == want
 
 
+def test_minhash_ids_with_two_texts_nulls_and_repeats(spark):
+    rng = random.Random(4)
+    w, v, one = (" ".join(f"{c}{rng.randrange(900)}" for _ in range(100)) for c in "wvo")
+    near = lambda t: t + " end"
+    rows = [(1, w), (1, v), (2, near(w)), (3, near(v)), (None, near(near(w))), (None, one), (None, near(one)), (7, "solo text here"), (7, "solo text here"), (None, None), (None, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"check": F.lit(1), "comp": F.lit(2), "row": F.lit(3)}).repartition(3)
+    got = Counter((r["doc_id"], r["component_id"], r["kept"]) for r in minhash.query(spark, df).collect())
+    assert got == Counter([(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (None, 1, False), (None, None, True), (None, None, True), (7, 7, True), (7, 7, True), (None, None, True), (None, None, True)])
+    kept = minhash.keep_one(df)
+    assert kept.columns == df.columns
+    left = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    assert left[7, "solo text here"] == 1 and left[1, w] == left[1, v] == 1 and left[2, near(w)] == left[3, near(v)] == left[None, near(near(w))] == 0
+    assert left[None, one] + left[None, near(one)] == 1 and left[None, None] == left[None, " "] == 1 and sum(left.values()) == 6
+    names = spark.createDataFrame([("b", w), ("a", near(w))], "doc_id string, text string")
+    assert {(r["doc_id"], r["component_id"]) for r in minhash.query(spark, names).collect()} == {("a", "a"), ("b", "a")}
+
+
+@pytest.mark.skipif(not os.path.exists(TABLES), reason="the tables are not here")
+def test_minhash_recall_over_all_pairs_of_a_table(spark):
+    docs = spark.read.parquet(f"file://{TABLES}/documents.parquet")
+    want = brute_components([tuple(r) for r in docs.select("doc_id", "text").collect()], 2)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.query(spark, docs).collect()}
+    linked = sum(i != c for i, (_, c) in want.items())
+    missed = sum(got[i] != x for i, x in want.items())
+    assert linked > 50 and missed == 0
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i + 1, i) for i in range(60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(70)] + [(500, k) for k in range(501, 540)]
@@ -228,6 +274,64 @@ def test_multiset(spark, docs, rows, empty):
     assert multiset.query(spark, one).first()["near_next"] == 1.0
 
 
+def plain_sketch(text):
+    """Counts of runs of six characters within lines, by lane and sign, one at a time."""
+    lanes = [0] * multiset.SKETCH_LANES
+    powers = [pow(0x9E3779B97F4A7C15, k + 1, 2**64) for k in range(6)]
+    for line in text.split("\n"):
+        for i in range(len(line) - 5):
+            h = sum(ord(c) * p for c, p in zip(line[i : i + 6], powers)) % 2**64
+            h ^= h >> 31
+            h = h * 0xBF58476D1CE4E5B9 % 2**64
+            h ^= h >> 29
+            lanes[(h >> 40) % multiset.SKETCH_LANES] += -1 if (h >> 20) & 1 else 1
+        if 0 < len(line) < 6:
+            h = int.from_bytes(hashlib.shake_128(line.encode()).digest(4), "little")
+            lanes[(h >> 1) % multiset.SKETCH_LANES] += 1 if h & 1 else -1
+    return lanes
+
+
+def plain_fingerprint(text):
+    hashes = [0] * multiset.HASH_LANES
+    for line in text.split("\n"):
+        raw = hashlib.shake_128(line.encode()).digest(2 * multiset.HASH_LANES)
+        hashes = [(h + int.from_bytes(raw[2 * k : 2 * k + 2], "little")) % 2**16 for k, h in enumerate(hashes)]
+    return b"".join(h.to_bytes(2, "little") for h in hashes) + b"".join((x % 2**32).to_bytes(4, "little") for x in plain_sketch(text))
+
+
+def plain_likeness(a, b):
+    if sorted(a.split("\n")) == sorted(b.split("\n")):
+        return 1.0
+    x, y = plain_sketch(a), plain_sketch(b)
+    d = (sum(v * v for v in x) * sum(v * v for v in y)) ** 0.5
+    return min(1.0, max(0.0, sum(p * q for p, q in zip(x, y)) / d)) if d else 0.0
+
+
+def test_multiset_against_plain_counts(spark):
+    rng = random.Random(21)
+    texts = [prose(rng, 30) + "\n" + prose(rng, 3) + "\nab\n" for _ in range(30)] + ["lang " * 40000, "lang " * 30000, "x" * 60000, "", "é🎉\nab"]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(2**61, "far away"), (None, "no id"), (None, None), (5, "second text of five")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"h": F.lit("x"), "p": F.lit("x"), "part": F.lit("x")}).repartition(4)
+    hashes = {(r["doc_id"], r["text"]): r["h2"] for r in df.select("doc_id", "text", F.xxhash64("text").alias("h2")).collect()}
+    order = sorted(docs, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r]))
+    got = defaultdict(list)
+    for r in multiset.compared(df, parts=7).collect():
+        got[r["doc_id"], r["n_chars"]].append(r)
+    assert sum(map(len, got.values())) == len(docs)
+    for k, (i, t) in enumerate(order):
+        t, nxt = t or "", order[(k + 1) % len(order)][1] or ""
+        edited = t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]
+        r = next(x for x in got[i, len(t)] if base64.b64decode(x["fingerprint"]) == plain_fingerprint(t))
+        assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest() and base64.b64decode(r["edited_fingerprint"]) == plain_fingerprint(edited)
+        assert abs(r["near_edited"] - plain_likeness(t, edited)) < 1e-9 and abs(r["near_next"] - plain_likeness(t, nxt)) < 1e-9
+
+
+def test_multiset_parts_are_even(spark):
+    df = spark.range(4000).selectExpr("case when id < 1500 then null when id = 1501 then 4611686018427387904 else id end as doc_id", "concat('t', id) as text")
+    sizes = [r["count"] for r in multiset.dealt_by_id(df, 16).where("guest = 0").groupBy("part").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * 4000 / 16
+
+
 def test_multiset_is_homomorphic():
     a, b = "one line\nshort\n\nand a third one", "more of it\nx"
     fa, fb = multiset.fingerprint(a), multiset.fingerprint(b)
@@ -271,6 +375,31 @@ def test_sharding(spark, docs, rows, empty):
     assert sorted(Counter(r["shard"] for r in few.collect()).values()) == sorted(len(rows) // 3 + (k < len(rows) % 3) for k in range(3))
 
 
+def test_sharding_is_what_the_matrix_says(spark):
+    """Shard and slot worked out in plain Python from the hashes and the matrix."""
+    df = spark.createDataFrame([(i % 50 if i % 9 else None, i) for i in range(300)], "k long, n int")
+    h = df.select("k", "n", *[F.xxhash64(F.lit(f"5/{j}"), "k", "n").alias(f"h{j}") for j in range(3)]).collect()
+    blocks = defaultdict(list)
+    for r in h:
+        blocks[r["h0"] % 8].append(r)
+    sent = sharding.communication_matrix([len(blocks[b]) for b in range(8)], [100, 100, 100], 5)
+    assert [sum(c) for c in zip(*sent)] == [100, 100, 100]
+    least = lambda k: (k is not None, k or 0)
+    shards = defaultdict(list)
+    for b in range(8):
+        at = sorted(blocks[b], key=lambda r: (r["h1"], least(r["k"]), r["n"]))
+        for s, n in enumerate(sent[b]):
+            shards[s] += at[:n]
+            at = at[n:]
+    want = {}
+    for s, rows in shards.items():
+        part = lambda r: ((r["h2"] % 2**64) >> 20) % 4096
+        for slot, r in enumerate(sorted(rows, key=lambda r: (part(r), r["h2"], least(r["k"]), r["n"]))):
+            want[r["n"]] = (s, slot)
+    got = sharding.shuffled(df, ["k", "n"], 3, seed=5, block_rows=40)
+    assert {r["n"]: (r["shard"], r["slot"]) for r in got.collect()} == want
+
+
 def test_hypergeometric_law():
     rng = np.random.default_rng(1)
     draws = np.array([sharding.hypergeometric(rng, 30, 70, 20) for _ in range(4000)])
@@ -315,6 +444,38 @@ def test_warc_reader_finds_damage(spark):
     assert warc.read_warc(spark, path).count() == 1
 
 
+def test_warc_archives_roll_and_hold_a_record_a_member(spark):
+    path = scratch(spark)
+    rng = random.Random(1)
+    rows = [(i, f"http://h/{i}", "".join(rng.choice("abcdef \n") for _ in range(3000))) for i in range(40)] + [(99, "http://long", "y" * 3_000_000)]
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2), path, date="2024-05-06T07:08:09Z", archive_bytes=8000)
+    files = [r["content"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()]
+    assert len(files) > 6 and max(map(len, files)) < 20000
+    kinds = Counter()
+    for raw in map(bytes, files):
+        whole = gzip.decompress(raw)
+        members = []
+        while raw:
+            z = zlib.decompressobj(31)
+            members.append(z.decompress(raw))
+            raw = z.unused_data
+        assert b"".join(members) == whole
+        for m in members:
+            head, _, block = m.partition(b"\r\n\r\n")
+            fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+            assert head.startswith(b"WARC/1.1") and len(block) == int(fields["Content-Length"]) + 4
+            kinds[fields["WARC-Type"]] += 1
+    assert kinds == {"response": 41, "metadata": len(files)}
+    assert warc.read_warc(spark, path).where("verified").count() == 41
+
+
+def test_urls_sites(spark):
+    hosts = ["a.co.uk", "b.a.co.uk", "x.com:80", "me@y.x.com", "10.0.0.1:8080", "[::1]:80", "com", ""]
+    df = spark.createDataFrame([(h,) for h in hosts], "h string")
+    got = {r["h"]: (r["d"], r["s"]) for r in df.select("h", *[c.alias(n) for c, n in zip(urls.site_of(F.col("h"), urls.SUFFIXES), "ds")]).collect()}
+    assert got == {"a.co.uk": ("a.co.uk", "co.uk"), "b.a.co.uk": ("a.co.uk", "co.uk"), "x.com:80": ("x.com", "com"), "me@y.x.com": ("x.com", "com"), "10.0.0.1:8080": ("10.0.0.1", "10.0.0.1"), "[::1]:80": ("[::1]", "[::1]"), "com": ("com", "com"), "": ("", "")}
+
+
 def test_urls(spark):
     pages = [(i, f"http://Bad.site.com/{i}?q") for i in range(40)] + [(i, f"https://good.site.com:80/a{i}#x") for i in range(40, 90)]
     pages += [(100, None), (101, "no scheme"), (102, "http://x.example.net/en/1"), (103, "http://example.net/en"), (104, "ftp://a.example.com/de/"), (105, "http://notexample.com/de/x"), (106, "http://w.org/fr/a"), (107, "http://a.net"), (108, "a://b://c/d"), (0, "http://Bad.site.com/0?q")]
@@ -376,6 +537,61 @@ def test_quality(spark, rows, empty):
     assert quality.query(spark, empty, labels).count() == 0
 
 
+def test_quality_scores_do_not_depend_on_partitions(spark):
+    rng = random.Random(18)
+    rows = [(i, prose(rng, 40) if i % 3 else " ".join(w.upper() + "!!" for w in prose(rng, 40).split()), "en", f"src{i % 4}", 1) for i in range(300)]
+    rows += [(0, "a second text of zero", "en", "src1", 1), (7, rows[7][1], "en", "src3", 1), (9006, "lang " * 40000, "fr", "src3", 1), (None, "no id at all", None, None, None)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = [sorted((str(r["doc_id"]), r["score"], r["kept"]) for r in quality.query(spark, docs.repartition(n), labels.repartition(n)).collect()) for n in (1, 5)]
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+    clash = docs.withColumns({c: F.lit(f"own {c}") for c in ("salt", "_n", "score", "row", "p", "host", "path", "n", "k", "a.b")})
+    kept = quality.keep_good(clash, labels)
+    assert kept.columns == clash.columns and {tuple(r[5:]) for r in kept.collect()} == {tuple(f"own {c}" for c in clash.columns[5:])}
+
+
+def test_quality_of_labels_not_fitted_on(spark):
+    docs, labels = (spark.read.parquet(f"file://{TABLES}/{t}.parquet") for t in ("documents", "labels"))
+    known = labels.where("quality is not null")
+    model = quality.fit(docs, known.where("doc_id % 2 = 0"))
+    held = {r["doc_id"]: r["quality"] for r in known.where("doc_id % 2 = 1").collect()}
+    got = [(r["row"]["doc_id"], r["score"]) for r in quality.scored(docs, model, ["doc_id"]).collect()]
+    good, bad = ([s for i, s in got if held.get(i) == y] for y in (1, 0))
+    assert len(bad) > 10 and sum(s >= 0.5 for s in good) >= 0.98 * len(good) and sum(s >= 0.5 for s in bad) <= 0.1 * len(bad)
+
+
+def test_quality_against_plain_bayes(spark):
+    """host, path and combined scores from the classifier's, worked out with numpy."""
+
+    class Fixed:
+        def predict(self, x):
+            return np.round(x[:, 1] * 0.9 + 0.05, 6)
+
+    rng = random.Random(6)
+    rows = [(i, "".join(rng.choice("a1 " if i % 3 else "aa1") for _ in range(40)), rng.choice(["p", None]), f"s{min(i % 7, i % 11)}", 1) for i in range(400)]
+    got = {r["row"]["doc_id"]: r for r in quality.scored(spark.createDataFrame(rows, SCHEMA), Fixed()).collect()}
+    p = Fixed().predict(quality.shapes([t for _, t, *_ in rows]))
+
+    def weight(groups):
+        n, mean = np.array([len(g) for g in groups], float), np.array([p[g].mean() for g in groups])
+        total, m = n.sum(), (n * mean).sum() / n.sum()
+        between = ((n * (mean - m) ** 2).sum() / total - m * (1 - m) * (len(n) - 1) / total) / (1 - (n * n).sum() / total**2)
+        return min(1000.0, max(2.0, m * (1 - m) / between - 1)) if between > 1e-12 else 1000.0
+
+    by_host, by_path = defaultdict(list), defaultdict(list)
+    for k, (_, _, path, host, _) in enumerate(rows):
+        by_host[host].append(k)
+        by_path[host, path].append(k)
+    wh, wp, base = weight(list(by_host.values())), weight(list(by_path.values())), p.mean()
+    logit = lambda x: np.log(x / (1 - x))
+    for k, (i, _, path, host, _) in enumerate(rows):
+        h, q = by_host[host], by_path[host, path]
+        hs = (p[h].sum() - p[k] + wh * base) / (len(h) - 1 + wh)
+        ps = (p[q].sum() - p[k] + wp * hs) / (len(q) - 1 + wp)
+        want = 1 / (1 + np.exp(-(logit(p[k]) + logit(ps) - logit(base))))
+        assert abs(got[i]["host_score"] - hs) < 1e-4 and abs(got[i]["path_score"] - ps) < 1e-4 and abs(got[i]["score"] - want) < 1e-3
+
+
 def test_quality_sites_shrink(spark):
     class Fixed:
         mean = 0
@@ -409,3 +625,46 @@ def test_toxicity(spark, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r["score"] for r in toxicity.query(spark, docs, none).collect()} == {0.0}
     assert toxicity.query(spark, empty, none).count() == 0
+
+
+def plain_pu_steps(rows, positive, size, prior, rounds, rate, decay):
+    """The estimator, one document and one weight at a time; the gradient by differences of the risk that the step is for."""
+    p, u = [r for r, y in zip(rows, positive) if y], [r for r, y in zip(rows, positive) if not y]
+    soft = lambda g: max(g, 0) + np.log1p(np.exp(-abs(g)))
+
+    def parts(v):
+        g = lambda r: sum(v[i] for i in r) + v[-1]
+        minus = sum(soft(g(r)) for r in u) / len(u) - prior * sum(soft(g(r)) for r in p) / len(p)
+        plus = prior * sum(soft(-g(r)) for r in p) / len(p)
+        return minus, plus
+
+    v, m, q = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
+    for t in range(1, rounds + 1):
+        minus, _ = parts(v)
+        loss = (lambda x: -parts(x)[0]) if minus < 0 else (lambda x: sum(parts(x)))
+        grad = np.array([(loss(v + 1e-6 * e) - loss(v - 1e-6 * e)) / 2e-6 for e in np.eye(size + 1)])
+        grad[:-1] += decay / len(p) * v[:-1]
+        m, q = 0.9 * m + 0.1 * grad, 0.999 * q + 0.001 * grad * grad
+        v = v - rate * (m / (1 - 0.9**t)) / (np.sqrt(q / (1 - 0.999**t)) + 1e-8)
+    return v
+
+
+def test_toxicity_steps_against_differences():
+    rng = random.Random(14)
+    rows = [[i for i in range(6) if rng.random() < (0.7 if k < 8 and i < 2 else 0.3)] for k in range(40)]
+    positive = np.arange(40) < 8
+    for prior in (0.05, 0.5):
+        model = toxicity.NonNegativePU(prior, rounds=25).fit([np.array(r, dtype=np.int64) for r in rows], positive, 6)
+        want = plain_pu_steps(rows, positive, 6, prior, 25, 0.05, 0.3)
+        assert np.allclose([*model.w, model.bias], want, atol=1e-3)
+
+
+def test_toxicity_counts_all_text_and_one_row_an_id(spark):
+    rng = random.Random(15)
+    rows = [(i, prose(rng, 20) + (" vileword" if i % 4 == 0 else ""), "en", "s", 1) for i in range(400)] + [(4, "lang " * 50000, "en", "s", 1)] * 3
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(200)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, SCHEMA)
+    a, b = (toxicity.fit(docs.repartition(n), labels) for n in (1, 5))
+    assert a == b and a[0]["vileword"] > 1
+    got = toxicity.query(spark, docs, labels)
+    assert got.count() == 403 and got.where("doc_id = 4").select("score").distinct().count() == 2
