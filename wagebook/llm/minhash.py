@@ -262,7 +262,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = written(dealt(sig))
     least = F.struct(F.col("id").isNull().alias("none"), "id", "check")
     aggs = {"one": (F.min(F.struct(least.alias("least"), "n", "bits", "halves")), F.min)}
-    classes = written(grouped(rows.where("n > 0"), "set_hash", aggs).select("set_hash", "salts", "one.*", F.monotonically_increasing_id().alias("c")))
+    # Classes are numbered in the order of their least ids: a bucket's pivot is then its earliest text, of which the others
+    # are more likely to be edits than of one another, and numbers do not depend on how docs are partitioned.
+    classes = grouped(rows.where("n > 0"), "set_hash", aggs).select("set_hash", "salts", "one.*").orderBy("least")
+    classes = written(classes.withColumn("c", F.monotonically_increasing_id()))
     of = classes.select("c", "n", "bits", "halves", id_key(F.col("least.id")).alias("id_key"), "least.check")
     comps = class_components(texts.select(id_key(F.col("id")).alias("id_key"), "check", "text"), of, shingle_words, percent)
     labelled = written(classes.select("set_hash", "salts", "c", "least").join(comps, "c", "left").withColumn("comp", F.coalesce("comp", "c")))
