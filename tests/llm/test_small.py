@@ -659,6 +659,16 @@ def test_toxicity_steps_against_differences():
         assert np.allclose([*model.w, model.bias], want, atol=5e-3)
 
 
+def test_toxicity_weights_are_the_mean_of_the_last_steps():
+    rng = random.Random(16)
+    rows = [[i for i in range(6) if rng.random() < (0.7 if k < 8 and i < 2 else 0.3)] for k in range(40)]
+    positive = np.arange(40) < 8
+    numbers = [np.array(r, dtype=np.int64) for r in rows]
+    single = [toxicity.NonNegativePU(0.3, rounds=t).fit(numbers, positive, 6) for t in range(16, 26)]
+    model = toxicity.NonNegativePU(0.3, rounds=25, averaged=10).fit(numbers, positive, 6)
+    assert np.allclose(model.w, np.mean([m.w for m in single], axis=0)) and np.isclose(model.bias, np.mean([m.bias for m in single]))
+
+
 def test_toxicity_counts_all_text_and_one_row_an_id(spark):
     rng = random.Random(15)
     rows = [(i, prose(rng, 20) + (" vileword" if i % 4 == 0 else ""), "en", "s", 1) for i in range(400)] + [(4, "lang " * 50000, "en", "s", 1)] * 3

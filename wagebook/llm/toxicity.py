@@ -34,10 +34,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 class NonNegativePU:
-    """w: weight of each feature; bias. Weights are held back by decay, shared among the positives."""
+    """w: weight of each feature; bias. Weights are held back by decay, shared among the positives.
 
-    def __init__(self, prior: float, rounds: int = 200, rate: float = 0.05, decay: float = 0.3):
-        self.prior, self.rounds, self.rate, self.decay = prior, rounds, rate, decay
+    The steps go up and down around zero of the negative risk, so the last one says little by itself: w and bias are the
+    mean of the last `averaged` steps (0: the last one).
+    """
+
+    def __init__(self, prior: float, rounds: int = 200, rate: float = 0.05, decay: float = 0.3, averaged: int = 0):
+        self.prior, self.rounds, self.rate, self.decay, self.averaged = prior, rounds, rate, decay, averaged
 
     def fit(self, rows: list[np.ndarray], positive: np.ndarray, size: int) -> NonNegativePU:
         """rows: the feature numbers (under size) that each document has."""
@@ -47,6 +51,8 @@ class NonNegativePU:
         un = (~positive) / max(1, (~positive).sum())
         w, b, decay = np.zeros(size), 0.0, self.decay / max(1, positive.sum())
         m, v = np.zeros(size + 1), np.zeros(size + 1)
+        last = min(self.rounds, max(1, self.averaged))
+        sums = np.zeros(size + 1)
         for t in range(1, self.rounds + 1):
             g = np.bincount(doc, weights=w[flat], minlength=len(rows)) + b
             s = 1 / (1 + np.exp(-np.clip(g, -30, 30)))
@@ -58,7 +64,9 @@ class NonNegativePU:
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
             step = self.rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
             w, b = w - step[:-1], b - step[-1]
-        self.w, self.bias = w, float(b)
+            if t > self.rounds - last:
+                sums += np.append(w, b)
+        self.w, self.bias = sums[:-1] / last, float(sums[-1] / last)
         return self
 
 
@@ -91,7 +99,7 @@ def _counted(words: list[str]):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_unlabelled: int = 8000, size: int = 2000, least: int = 3, max_candidates: int = 100_000) -> tuple[dict[str, float], float] | None:
+def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_unlabelled: int = 20_000, size: int = 2000, least: int = 3, max_candidates: int = 100_000) -> tuple[dict[str, float], float] | None:
     """(feature weights, bias), or None where no row is confirmed toxic.
 
     Nothing is learned from held-out rows. Positives are max_positive confirmed toxic documents at most, by hash of id.
@@ -135,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_unlabe
     got = [(sample.where(c).select("doc_id", "text", order.alias("h")).mapInArrow(run, schema).collect()) for c in ("positive", "not positive")]
     got = [sorted(x, key=lambda r: (r["h"], r["id"])) for x in got]
     rows = [np.array(r["f"], dtype=np.int64) for x in got for r in x]
-    model = NonNegativePU(prior).fit(rows, np.array([True] * len(got[0]) + [False] * len(got[1])), len(words))
+    model = NonNegativePU(prior, averaged=100).fit(rows, np.array([True] * len(got[0]) + [False] * len(got[1])), len(words))
     return dict(zip(words, map(float, model.w))), model.bias
 
 
