@@ -101,7 +101,7 @@ def cut_rows(docs: DataFrame, parts: int, draws: int = 32) -> list[tuple[int, in
     first = places.agg(F.min(F.struct("null", "at", "h")).alias("x")).first()["x"]
     if first is None:
         return []
-    drawn = places.orderBy(F.xxhash64(F.lit("cut"), "null", "at", "h"), "null", "at", "h").limit(parts * draws).collect()
+    drawn = places.orderBy(F.xxhash64(F.lit("cut"), "null", "at", "h"), "null", "at", "h").limit(parts * draws).distinct().collect()
     drawn = sorted({tuple(r) for r in drawn})
     return sorted({tuple(first), *(drawn[len(drawn) * k // parts] for k in range(1, parts))})
 
