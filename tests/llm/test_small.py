@@ -678,3 +678,24 @@ def test_toxicity_counts_all_text_and_one_row_an_id(spark):
     assert a == b and a[0]["vileword"] > 1
     got = toxicity.query(spark, docs, labels)
     assert got.count() == 403 and got.where("doc_id = 4").select("score").distinct().count() == 2
+
+
+def test_index_is_found_again_by_its_path(spark):
+    place, batch = scratch(spark), "digest string, id long"
+    one = exact.DigestIndex(spark, "index_first", place, 3)
+    one.add(spark.createDataFrame([("aa", 1), ("bb", 2), ("bb", 5)], batch))
+    one.forget()
+    two = exact.DigestIndex(spark, "index_second", place)
+    two.add(spark.createDataFrame([("bb", 9), ("cc", 3)], batch))
+    assert two.buckets == 3 and sorted(map(tuple, two.rows().collect())) == [("aa", 1), ("bb", 2), ("cc", 3)]
+    with pytest.raises(ValueError, match="3 buckets, not 4"):
+        exact.DigestIndex(spark, "index_third", place, 4).add(spark.createDataFrame([("dd", 1)], batch))
+    with pytest.raises(ValueError, match="index_second is a table at"):
+        exact.DigestIndex(spark, "index_second", scratch(spark)).add(spark.createDataFrame([("dd", 1)], batch))
+    plan = two.rows().groupBy("digest").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("Initial Plan")[0]
+    fresh = spark.newSession()  # another catalog
+    three = exact.DigestIndex(fresh, "index_second", place)
+    three.add(fresh.createDataFrame([("aa", 0), ("ee", 4)], batch))
+    assert sorted(map(tuple, three.rows().collect())) == [("aa", 1), ("bb", 2), ("cc", 3), ("ee", 4)]
+    two.forget()

@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagebook.llm.common import attached, dealt, grouped, id_key, one_each, scratch, written
+from wagebook.llm.common import Bucketed, attached, dealt, grouped, id_key, one_each, scratch, written
 
 
 def normalised(text: Column) -> Column:
@@ -19,43 +19,31 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-class DigestIndex:
+class DigestIndex(Bucketed):
     """digest -> keep_id, the smallest id of the batch that brought the digest.
 
     Adding a batch twice changes nothing. A batch that fails midway leaves the index as it was or with whole rows that
     the next attempt finds. Null ids count as larger than any; a digest that only null ids have gets a null keep_id.
-    Every append adds a sorted file to each bucket; compact() makes them one again, so that joins need no sort.
+    An index with a path is found again by it, whatever name it is opened under. Every append adds a sorted file to each
+    bucket; compact() makes them one again, so that joins need no sort.
     """
 
     def __init__(self, spark: SparkSession, name: str, path: str | None = None, buckets: int | None = None):
-        self.spark, self.name, self.path = spark, name, path
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def _append(self, rows: DataFrame) -> None:
-        w = rows.repartition(self.buckets, "digest").write.format("parquet").bucketBy(self.buckets, "digest").sortBy("digest")
-        (w.option("path", self.path) if self.path else w).mode("append").saveAsTable(self.name)
-        self.spark.catalog.refreshTable(self.name)
-
-    def rows(self) -> DataFrame:
-        return self.spark.table(self.name)
+        super().__init__(spark, name, "digest", path, buckets)
 
     def compact(self) -> DigestIndex:
         """The index as one sorted file a bucket, under a new name; this one stays for those who read it."""
         new = new_index(self.spark)
         new.buckets = self.buckets
-        new._append(self.rows())
+        new.append(self.rows())
         return new
 
-    def forget(self) -> None:
-        """Takes the name out of the catalog. Files of an index with a path stay."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-
     def add(self, batch: DataFrame) -> None:
         """batch: digest, id. The batch is pre-aggregated, so a digest with very many copies costs one row a task."""
         new = batch.groupBy("digest").agg(F.min("id").alias("keep_id"))
-        if self.spark.catalog.tableExists(self.name):
+        if self.exists():
             new = new.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
-        self._append(new)
+        self.append(new)
 
 
 def _cuts(rows: DataFrame, batches: int, draws: int = 15) -> list:
