@@ -1,6 +1,9 @@
 """Column functions on single values."""
 
 import datetime
+import random
+import re
+import time
 from decimal import Decimal
 
 import pytest
@@ -93,3 +96,46 @@ def test_nearest_column(spark):
 def test_amount_after_label(spark):
     rows = [w(("5,00", 1), ("TOTALE", 50), ("COMPETENZE", 90), ("(", 150), ("7,00", 160)), w(("TOTALE", 1), ("COMPETENZE", 60)), w(("3,00", 1), ("altro", 60)), []]
     assert one(spark, lambda c: X.amount_after_label(X.enriched(c), X.label("TOTALE COMPETENZE")), rows, WORDS) == [7, None, 3, None]
+
+
+def plain_iban(words):
+    """First word that fits each step, one after the other."""
+    steps, out = [r"\d{2}", r"[A-Z]", r"\d{5}", r"\d{5}", r"\d{12}"], "IT"
+    for t in words:
+        if steps and re.fullmatch(steps[0], t, re.ASCII):
+            out, steps = out + t, steps[1:]
+    return None if steps else out
+
+
+def test_iban_of_long_and_odd_rows(spark):
+    rng = random.Random(5)
+    parts = ["97", "E", "03111", "11101", "000000123456", "x", "12", "1", "ab 12", "", "É", "99999"]
+    rows = [[rng.choice(parts) for _ in range(rng.randrange(1, 25))] for _ in range(300)]
+    got = one(spark, C.find_iban, [w(*[(t, i) for i, t in enumerate(r)]) for r in rows], WORDS)
+    assert got == [plain_iban(" ".join(r).split(" ")) for r in rows] and sum(g is not None for g in got) > 20
+    long = [("97", 1), *[("Z", i) for i in range(10_000)], ("03111", 1), ("11101", 2), *[("03111", i) for i in range(10_000)], ("000000123456", 3)]
+    began = time.time()
+    assert one(spark, C.find_iban, [w(*long), w(*long[:-1], ("123456789012x", 4))], WORDS) == ["IT97Z0311111101000000123456", None]
+    assert time.time() - began < 8
+
+
+def plain_after(words, wanted):
+    norm, at = "", 0
+    for k, (t, _, amt) in enumerate(words):
+        norm += "".join(c for c in t if c.isascii() and c.isalnum()).lower().replace("s", "")
+        if wanted in norm:
+            at = k + 1
+            break
+    return next((amt for _, _, amt in words[at:] if amt is not None), None)
+
+
+def test_amount_after_label_of_long_and_odd_rows(spark):
+    rng = random.Random(6)
+    parts = [("TOTALE", None), ("COMPETENZE", None), ("sTotale", None), ("Comp", None), ("etenze", None), ("5,00", Decimal(5)), ("7", Decimal(7)), ("(", None), ("é", None), ("", None)]
+    rows = [[(*p[:1], i, p[1]) for i, p in enumerate(rng.choice(parts) for _ in range(rng.randrange(0, 14)))] for _ in range(300)]
+    got = one(spark, lambda c: X.amount_after_label(X.enriched(c), X.label("TOTALE COMPETENZE")), [w(*[x[:2] for x in r]) for r in rows], WORDS)
+    assert got == [plain_after(r, "totalecompetenze") for r in rows] and len(set(got)) == 3
+    long = [("TOTALE", 1), *[("a", i) for i in range(20_000)], ("TOTALE", 1), ("COMPETENZE", 2), ("9,00", 3)]
+    began = time.time()
+    assert one(spark, lambda c: X.amount_after_label(X.enriched(c), X.label("TOTALE COMPETENZE")), [w(*long)], WORDS) == [9]
+    assert time.time() - began < 8

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from wagebook import schemas
 from wagebook.operators import quality as Q
 from wagebook.operators import reports as R
+from wagebook.operators import skew
 from wagebook.operators import store as S
 from wagebook.plans import queries_store
 from wagebook.sources import bundle as B
-from wagebook.sources.files import new_folder
+from wagebook.sources import registry
+from wagebook.sources.files import new_folder, stored
+from wagebook.sources.registry import Registry
 
 TS = datetime.datetime(2024, 1, 1)
 
@@ -35,6 +38,53 @@ def test_skip_and_dedup(spark):
     assert sorted(r["filename"] for r in kept.collect()) == ["a", "d", "e", "f"] and [r["filename"] for r in skipped.collect()] == ["b"]
 
 
+def test_registry(spark):
+    place = new_folder(spark)
+    files = spark.createDataFrame([(f"f{i}", "hot" if i % 3 == 0 else f"h{i}" if i % 3 == 1 else None) for i in range(900)], "filename string, sha256 string").repartition(4)
+    one = Registry(spark, "registry_one", place, 4)
+    new, known = S.skip_known(files, one)
+    assert new.count() == 900 and known.count() == 0
+    one.record(spark.createDataFrame([("hot", "NEEDS_REVIEW"), ("h1", "PROCESSED"), ("h4", "PROCESSED"), *[(f"old{i}", "PROCESSED") for i in range(500)]], "sha256 string, status string"), "0001")
+    one.record(spark.createDataFrame([("hot", "PROCESSED_WITH_ANOMALIES"), ("h4", "NEEDS_REVIEW")], "sha256 string, status string"), "0002")
+    one.forget()
+    two = Registry(spark, "registry_two", place)  # found by its path
+    new, known = S.skip_known(files, two)
+    assert {r["sha256"] for r in known.select("sha256").distinct().collect()} == {"hot", "h1"} and known.count() == 301 and new.count() == 599
+    hashes = stored(files.where("sha256 is not null").select("sha256").distinct())
+    assert sorted(map(tuple, two.latest(hashes).collect())) == sorted(map(tuple, two.latest(hashes, filtered=False).collect())) == [("h1", "PROCESSED"), ("h4", "NEEDS_REVIEW"), ("hot", "PROCESSED_WITH_ANOMALIES")]
+
+
+def test_registry_is_not_exchanged_and_is_thinned(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        r = Registry(spark, "registry_three", new_folder(spark), 4)
+        r.record(spark.createDataFrame([(f"h{i}", "PROCESSED") for i in range(4000)], "sha256 string, status string"), "1")
+        hashes = stored(spark.createDataFrame([(f"h{i}",) for i in range(0, 4000, 40)], "sha256 string"))
+        plan = r.latest(hashes)._jdf.queryExecution().executedPlan().toString()
+        lines = plan.split("\n")
+        scan = next(i for i, x in enumerate(lines) if "registry_three" in x)
+        indent = lambda x: len(x) - len(x.lstrip(" :+-"))
+        above, at = [], indent(lines[scan])
+        for x in reversed(lines[:scan]):
+            if indent(x) < at:
+                above.append(x)
+                at = indent(x)
+        assert not any("Exchange" in x for x in above) and any("SortMergeJoin" in x for x in above) and "Bucketed: true" in plan
+        left = registry._thinned(r.rows(), hashes, 100).count()
+        assert 100 <= left < 700
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_only_hot_keys_are_copied(spark):
+    rows = spark.createDataFrame([("hot" if i % 3 else f"k{i}", i) for i in range(3000)], "key string, i int")
+    groups = stored(skew.counted(rows, "key", {"least": F.min("i")}))
+    assert skew.share(groups, most_keys=10, least_rows=100) == 300
+    got = skew.joined(rows, groups, "key", F.col("i"), most_keys=10, least_rows=100)
+    assert got.count() == 3000 and got.where("key = 'hot' and least <> 1 or key <> 'hot' and least <> i").count() == 0
+    assert skew.joined(rows.where("false"), groups.where("false"), "key", F.col("i")).count() == 0
+
+
 def test_dedup_of_mixed_outcomes(spark):
     files = {"1": "a FAILED b PROCESSED c NEEDS_REVIEW d FAILED e PROCESSED", "2": "a NEEDS_REVIEW b PROCESSED_WITH_ANOMALIES", "3": "a FAILED b NEEDS_REVIEW c NEEDS_REVIEW d FAILED", "4": "a FAILED"}
     rows = [(k, f"{k}{x[i]}", x[i + 1]) for k, v in files.items() for x in [v.split()] for i in range(0, len(x), 2)]

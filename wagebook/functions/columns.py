@@ -78,14 +78,30 @@ def repair_split_amounts(words: Column) -> Column:
     return F.transform(kept, lambda w: F.struct(w["text"].alias("text"), w["x0"].alias("x0"), w["x1"].alias("x1"), w["top"].alias("top"), w["bottom"].alias("bottom")))
 
 
+#: The words of an IBAN in their order.
+IBAN_WORDS = [r"^\d{2}$", r"^[A-Z]$", r"^\d{5}$", r"^\d{5}$", r"^\d{12}$"]
+
+
 def find_iban(words: Column) -> Column:
     """IBAN put together from five words found from left to right, with anything between: 2 digits, a letter, twice 5
-    digits, 12 digits."""
-    line = F.concat(F.lit(" "), F.array_join(F.transform(words, lambda w: w["text"]), " "), F.lit(" "))
-    p = r"^.*? (\d{2}) (?:.*? )??([A-Z]) (?:.*? )??(\d{5}) (?:.*? )??(\d{5}) (?:.*? )??(\d{12}) .*$"
-    # Only a row with a word of twelve digits can fit; the pattern is tried on those alone, once.
-    found = F.when(line.rlike(r" \d{12} "), F.regexp_replace(line, p, "IT$1$2$3$4$5"))
-    return F.get(F.transform(F.array(found), lambda x: F.when(x.rlike(r"^IT\d{2}[A-Z]\d{22}$"), x)), F.lit(0))
+    digits, 12 digits.
+
+    One fold over the words keeps how many of the five it has: whatever can follow a later word can follow the first that
+    fits, so nothing is tried twice.
+    """
+    line = F.array_join(F.transform(words, lambda w: w["text"]), " ")
+
+    def step(state: Column, word: Column) -> Column:
+        out = state
+        for k, pattern in enumerate(IBAN_WORDS):
+            fits = (state["found"] == k) & word.rlike(pattern)
+            out = F.when(fits, F.struct(F.lit(k + 1).alias("found"), F.concat(state["iban"], word).alias("iban"))).otherwise(out)
+        return out
+
+    start = F.struct(F.lit(0).alias("found"), F.lit("IT").alias("iban"))
+    # Only a row with a word of twelve digits can fit; the others are not folded.
+    words_of = F.when(line.rlike(r"(^| )\d{12}( |$)"), F.split(line, " "))
+    return F.aggregate(words_of, start, step, lambda s: F.when(s["found"] == len(IBAN_WORDS), s["iban"]))
 
 
 def nearest_column(markers: Column, words: Column, tolerance: float) -> Column:

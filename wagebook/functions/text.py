@@ -107,9 +107,22 @@ def first_amount(words: Column) -> Column:
 
 
 def amount_after_label(words: Column, wanted: str) -> Column:
-    """First amount after the word that completes the label; where no word completes it, the first amount of all."""
-    so_far = F.transform(F.sequence(F.lit(1), F.size(words)), lambda k: normalize_label(F.array_join(F.transform(F.slice(words, F.lit(1), k), lambda w: w["text"]), "")).contains(wanted))
-    at = F.when(F.size(words) > 0, F.array_position(so_far, True)).otherwise(0).cast("int")
+    """First amount after the word that completes the label; where no word completes it, the first amount of all.
+
+    Normalising goes letter by letter, so the row's label is looked for once, and one pass over the lengths of the words says
+    which word its end lies in.
+    """
+    norm = F.transform(words, lambda w: normalize_label(w["text"]))
+    start = F.instr(F.array_join(norm, ""), F.lit(wanted))
+    end = F.when(start > 0, start + (len(wanted) - 1))
+
+    def step(state: Column, n: Column) -> Column:
+        upto = state["upto"] + F.coalesce(F.length(n), F.lit(0))
+        ends = (state["at"] == 0) & (upto >= state["end"])
+        return F.struct(state["end"].alias("end"), upto.alias("upto"), (state["k"] + 1).alias("k"), F.when(ends, state["k"] + 1).otherwise(state["at"]).alias("at"))
+
+    begin = F.struct(end.cast("int").alias("end"), F.lit(0).alias("upto"), F.lit(0).alias("k"), F.lit(0).alias("at"))
+    at = F.aggregate(norm, begin, step, lambda s: s["at"])
     return first_amount(F.slice(words, at + 1, F.greatest(F.size(words), F.lit(1))))
 
 

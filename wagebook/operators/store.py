@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wagebook import schemas
+from wagebook.operators.skew import counted, joined
+from wagebook.sources.files import stored
+from wagebook.sources.registry import Registry, known
 
 OK = ["PROCESSED", "PROCESSED_WITH_ANOMALIES"]
 
@@ -19,25 +22,28 @@ def key_id(*cols: str | Column) -> Column:
     return F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.concat(F.lit("+"), c.cast("string")), F.lit("-")) for c in parts]), 256)
 
 
-def skip_known(files: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(new, skipped) files by sha256: those stored with a good outcome are skipped."""
-    done = registry.where(F.col("status").isin(OK)).select("sha256")
-    return files.join(done, "sha256", "left_anti"), files.join(done, "sha256", "left_semi")
+def skip_known(files: DataFrame, registry: Registry | DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(new, skipped) files by sha256: those stored with a good outcome are skipped. A file without a hash is new.
+
+    The registry meets each hash of files once, and is not exchanged where it is a Registry; a hash that very many files
+    have is dealt over several tasks.
+    """
+    met = joined(files.where("sha256 is not null"), known(files, registry, OK), "sha256", F.col("filename"))
+    new = met.where(~F.col("done")).select(*files.columns).unionByName(files.where("sha256 is null"))
+    return new, met.where("done").select(*files.columns)
 
 
-def dedup_batch(outcomes: DataFrame, salts: int = 64) -> tuple[DataFrame, DataFrame]:
+def dedup_batch(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept, skipped) of outcomes (sha256, filename, status) in filename order. Of a sha256 the first file with a good
     outcome is kept and all good ones after it are skipped. Where none is good, the last that needs review replaces those
     before it (neither kept nor skipped). A file that comes before the good one and needs review is replaced by it; one
     that comes after is skipped, as it is not read again. Failures before the good file all stay; those after are skipped.
 
-    Copies are ranked by aggregation, not by a window, and joined by sha256 and salt, so a file with very many copies is
-    no hot spot.
+    Copies are ranked by aggregation, not by a window; only a file with very many copies has its ranks copied.
     """
     good, review = F.col("status").isin(OK), F.col("status") == "NEEDS_REVIEW"
-    per = outcomes.groupBy("sha256").agg(F.min(F.when(good, F.col("filename"))).alias("first"), F.max(F.when(review, F.col("filename"))).alias("last"))
-    per = per.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    o = outcomes.withColumn("salt", F.pmod(F.xxhash64("filename"), F.lit(salts)).cast("int")).join(per, ["sha256", "salt"]).drop("salt")
+    per = stored(counted(outcomes, "sha256", {"first": F.min(F.when(good, F.col("filename"))), "last": F.max(F.when(review, F.col("filename")))}))
+    o = joined(outcomes, per, "sha256", F.col("filename"))
     after = F.coalesce(F.col("filename") > F.col("first"), F.lit(False))
     keep = ~after & F.when(good, True).when(review, F.col("first").isNull() & (F.col("filename") == F.col("last"))).otherwise(True)
     return o.where(keep).select(*outcomes.columns), o.where(after).select(*outcomes.columns)
