@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wagebook.llm.common import Bucketed, attached, dealt, grouped, scratch, written
+from wagebook.llm.common import attached, dealt, grouped, scratch, written
+from wagebook.sources.bucketed import Bucketed
 
 
 @dataclass(frozen=True)
