@@ -50,8 +50,9 @@ def test_registry(spark):
     two = Registry(spark, "registry_two", place)  # found by its path
     new, known = S.skip_known(files, two)
     assert {r["sha256"] for r in known.select("sha256").distinct().collect()} == {"hot", "h1"} and known.count() == 301 and new.count() == 599
+    assert {r["status"] for r in two.latest(stored(files.select(F.lit("hot").alias("sha256")).limit(1)), S.OK, besides="0002").collect()} == {"NEEDS_REVIEW"}
     hashes = stored(files.where("sha256 is not null").select("sha256").distinct())
-    assert sorted(map(tuple, two.latest(hashes).collect())) == sorted(map(tuple, two.latest(hashes, filtered=False).collect())) == [("h1", "PROCESSED"), ("h4", "NEEDS_REVIEW"), ("hot", "PROCESSED_WITH_ANOMALIES")]
+    assert sorted(map(tuple, two.latest(hashes, S.OK).collect())) == sorted(map(tuple, two.latest(hashes, S.OK, filtered=False).collect())) == [("h1", "PROCESSED"), ("h4", "NEEDS_REVIEW"), ("hot", "PROCESSED_WITH_ANOMALIES")]
 
 
 def test_registry_is_not_exchanged_and_is_thinned(spark):
@@ -60,7 +61,7 @@ def test_registry_is_not_exchanged_and_is_thinned(spark):
         r = Registry(spark, "registry_three", new_folder(spark), 4)
         r.record(spark.createDataFrame([(f"h{i}", "PROCESSED") for i in range(4000)], "sha256 string, status string"), "1")
         hashes = stored(spark.createDataFrame([(f"h{i}",) for i in range(0, 4000, 40)], "sha256 string"))
-        plan = r.latest(hashes)._jdf.queryExecution().executedPlan().toString()
+        plan = r.latest(hashes, S.OK)._jdf.queryExecution().executedPlan().toString()
         lines = plan.split("\n")
         scan = next(i for i, x in enumerate(lines) if "registry_three" in x)
         indent = lambda x: len(x) - len(x.lstrip(" :+-"))

@@ -22,13 +22,13 @@ def key_id(*cols: str | Column) -> Column:
     return F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.concat(F.lit("+"), c.cast("string")), F.lit("-")) for c in parts]), 256)
 
 
-def skip_known(files: DataFrame, registry: Registry | DataFrame) -> tuple[DataFrame, DataFrame]:
+def skip_known(files: DataFrame, registry: Registry | DataFrame, besides: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(new, skipped) files by sha256: those stored with a good outcome are skipped. A file without a hash is new.
 
     The registry meets each hash of files once, and is not exchanged where it is a Registry; a hash that very many files
-    have is dealt over several tasks.
+    have is dealt over several tasks. besides: a batch of the registry that does not count.
     """
-    met = joined(files.where("sha256 is not null"), known(files, registry, OK), "sha256", F.col("filename"))
+    met = joined(files.where("sha256 is not null"), known(files, registry, OK, besides), "sha256", F.col("filename"))
     new = met.where(~F.col("done")).select(*files.columns).unionByName(files.where("sha256 is null"))
     return new, met.where("done").select(*files.columns)
 
@@ -74,23 +74,30 @@ def _order() -> Column:
     return F.struct(*ORDER)
 
 
-def upsert_company(dim: DataFrame, docs: DataFrame) -> DataFrame:
-    """dim plus the companies of docs that it lacks, by (ragione_sociale, codice_azienda); what was seen first stays.
+def new_companies(dim: DataFrame, docs: DataFrame) -> DataFrame:
+    """The companies of docs that dim lacks, by (ragione_sociale, codice_azienda); what was seen first stays.
 
     docs also carry run_ts and filename, which say what came first. Blank names are no company."""
     extra = ["indirizzo", "inail_aut", "inail_del", "inail_sede", "posizione_inps", "pat_inail"]
     new = _new_rows(dim, docs.where("coalesce(ragione_sociale, '') <> ''"), ["ragione_sociale", "codice_azienda"], extra, _order())
-    rows = new.select(key_id("ragione_sociale", "codice_azienda").alias("id"), "ragione_sociale", "f.indirizzo", "codice_azienda", *[f"f.{c}" for c in extra[1:]], F.col("o.run_ts").alias("created_at"))
-    return dim.unionByName(rows)
+    return new.select(key_id("ragione_sociale", "codice_azienda").alias("id"), "ragione_sociale", "f.indirizzo", "codice_azienda", *[f"f.{c}" for c in extra[1:]], F.col("o.run_ts").alias("created_at"))
 
 
-def upsert_employee(dim: DataFrame, docs: DataFrame) -> DataFrame:
+def upsert_company(dim: DataFrame, docs: DataFrame) -> DataFrame:
+    return dim.unionByName(new_companies(dim, docs))
+
+
+def new_employees(dim: DataFrame, docs: DataFrame) -> DataFrame:
     new = _new_rows(dim, docs.where("coalesce(codice_fiscale, '') <> ''"), ["codice_fiscale"], ["cognome_nome"], _order())
-    return dim.unionByName(new.select(key_id("codice_fiscale").alias("id"), "f.cognome_nome", "codice_fiscale", F.col("o.run_ts").alias("created_at")))
+    return new.select(key_id("codice_fiscale").alias("id"), "f.cognome_nome", "codice_fiscale", F.col("o.run_ts").alias("created_at"))
 
 
-def upsert_employment(dim: DataFrame, docs: DataFrame) -> DataFrame:
-    """One employment per employee and company. Without a hire date it begins at 1970-01-01; the first date seen, now or
+def upsert_employee(dim: DataFrame, docs: DataFrame) -> DataFrame:
+    return dim.unionByName(new_employees(dim, docs))
+
+
+def employment_changes(dim: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(dim as docs leave it, new rows). One employment per employee and company. Without a hire date it begins at 1970-01-01; the first date seen, now or
     later, fills that in. docs: employee_id, company_id, hire_date, run_ts, filename."""
     sentinel = F.lit("1970-01-01").cast("date")
     key = ["employee_id", "company_id"]
@@ -100,12 +107,21 @@ def upsert_employment(dim: DataFrame, docs: DataFrame) -> DataFrame:
     new = seen.join(dim.select(*key), key, "left_anti")
     null = lambda t: F.lit(None).cast(t)
     rows = new.select(key_id(*key).alias("id"), *key, null("string").alias("matricola"), F.col("hired").alias("data_assunzione"), null("date").alias("data_cessazione"), F.coalesce("hired", sentinel).alias("valid_from"), null("date").alias("valid_to"))
+    return old, rows
+
+
+def upsert_employment(dim: DataFrame, docs: DataFrame) -> DataFrame:
+    old, rows = employment_changes(dim, docs)
     return old.unionByName(rows)
 
 
-def upsert_period(dim: DataFrame, docs: DataFrame) -> DataFrame:
+def new_periods(dim: DataFrame, docs: DataFrame) -> DataFrame:
     new = _new_rows(dim, docs.where("coalesce(mese, 0) <> 0"), ["mese", "anno", "tipo"], ["label"], _order())
-    return dim.unionByName(new.select(key_id("mese", "anno", "tipo").alias("id"), "mese", "anno", "tipo", F.col("f.label").alias("label_originale")))
+    return new.select(key_id("mese", "anno", "tipo").alias("id"), "mese", "anno", "tipo", F.col("f.label").alias("label_originale"))
+
+
+def upsert_period(dim: DataFrame, docs: DataFrame) -> DataFrame:
+    return dim.unionByName(new_periods(dim, docs))
 
 
 def document_fact(docs: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from functools import reduce
 
@@ -13,10 +14,12 @@ from wagebook.operators import quality as Q
 from wagebook.operators import reports as R
 from wagebook.operators import store as S
 from wagebook.plans import common as K
-from wagebook.plans import process, queries_documents
+from wagebook.plans import jobs, process, queries_documents
 from wagebook.plans.common import WITH, edge, mod97, table
 from wagebook.sources import bundle as B
 from wagebook.sources.files import new_folder, stored
+from wagebook.sources.registry import Registry
+from wagebook.sources.tables import DEPENDENT, Tables
 
 QUERIES: dict[str, tuple] = {}
 
@@ -252,6 +255,48 @@ def process_model(s, d):
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Two batches and a deletion: even payslips, then all of them. What is stored well is skipped, what needed review is replaced.
+BATCHES = FAULTS + f""", g AS (SELECT *, doc_id || '.pdf' AS filename, cf = '' AS exempt, cf || '|' || nat || '|' || layout || '|' || mese || '|' || anno AS lk FROM st),
+one AS (SELECT *, exempt OR row_number() OVER (PARTITION BY lk ORDER BY filename) = 1 AS stored FROM g WHERE k % 2 = 0),
+good AS (SELECT * FROM one WHERE stored AND status <> 'NEEDS_REVIEW'),
+two AS (SELECT *, exempt OR (lk NOT IN (SELECT lk FROM good) AND row_number() OVER (PARTITION BY lk ORDER BY filename) = 1) AS stored FROM g WHERE doc_id NOT IN (SELECT doc_id FROM good)),
+kept AS (SELECT '0001' AS batch, * FROM good UNION ALL SELECT '0002', * FROM two WHERE stored),
+f AS MATERIALIZED (SELECT * FROM kept WHERE filename <> (SELECT min(filename) FROM kept)),
+leave AS (SELECT doc_id, count(*) AS n FROM ({" UNION ALL ".join(f"SELECT doc_id FROM ({BLOCKS[n]})" for n in ("g7_leave_z", "g7_leave_c", "g7_leave_s"))}) GROUP BY doc_id),
+rows AS (SELECT doc_id, batch, unnest(['payroll_document', 'pay_line', 'tax', 'tfr', 'leave_balance', 'payroll_totals', 'anomaly', 'raw_extraction', 'audit_event']) AS "table",
+  unnest([1, n_lines + CASE WHEN layout > 0 THEN 1 ELSE 0 END, 1, 1, coalesce(leave.n, 0), 1, n_anomalies, 1, 1]) AS n, unnest([NULL, earn, NULL, NULL, NULL, net, NULL, NULL, n_anomalies]) AS num FROM f LEFT JOIN leave USING (doc_id))
+SELECT "table", doc_id AS key, batch, CAST(n AS BIGINT) AS n, CAST(num AS DOUBLE) AS num, NULL AS txt FROM rows WHERE n > 0
+UNION ALL SELECT 'outcome', doc_id, '0001', 1, NULL, CASE WHEN stored THEN status ELSE 'FAILED' END FROM one
+UNION ALL SELECT 'outcome', doc_id, '0002', 1, NULL, 'SKIPPED' FROM good UNION ALL SELECT 'outcome', doc_id, '0002', 1, NULL, CASE WHEN stored THEN status ELSE 'FAILED' END FROM two
+UNION ALL SELECT 'error_record', doc_id, '0001', 1, NULL, 'IntegrityError' FROM one WHERE NOT stored UNION ALL SELECT 'error_record', doc_id, '0002', 1, NULL, 'IntegrityError' FROM two WHERE NOT stored
+UNION ALL SELECT 'employee', cf, min(batch), 1, NULL, NULL FROM (SELECT cf, '0001' AS batch FROM one WHERE stored UNION ALL SELECT cf, '0002' FROM two WHERE stored) WHERE cf <> '' GROUP BY cf"""
+
+
+@add("p3_p13_stored_batches", BATCHES)
+def p3_p13(s, d):
+    """Two runs of the job against tables on storage, then the deletion of the first document by name: what all nine tables that
+    depend on documents hold at the end, the employees, and each run's outcomes and errors."""
+    p = parsed(s, d)
+    found = stored(process.anomalies(p))
+    tables = Tables(s, new_folder(s))
+    even = F.col("doc_id").cast("long") % 2 == 0
+    jobs.ingest(tables, p.where(even), found.where(even), "0001", "2024-01-01")
+    jobs.ingest(tables, p, found, "0002", "2024-02-01")
+    first = tables.read("payroll_document").agg(F.min("original_filename")).first()[0]
+    jobs.delete(tables, "0003", filename=first)
+    names = tables.read("payroll_document").select(F.col("id").alias("document_id"), F.substring_index("original_filename", ".", 1).alias("key"))
+    num = {"pay_line": F.coalesce(F.sum("competenza"), F.lit(0)), "payroll_totals": F.sum("netto_mese"), "audit_event": F.sum("detail.anomalies")}
+    none, parts = F.lit(None).cast("double"), []
+    for t in DEPENDENT:
+        rows = tables.read(t).withColumnsRenamed({"id": "document_id"} if t == "payroll_document" else {})
+        n = rows.groupBy("document_id", "batch").agg(F.count(F.lit(1)).alias("n"), (num[t].cast("double") if t in num else F.first(none)).alias("num"))
+        parts.append(n.join(names, "document_id", "left").select(F.lit(t).alias("table"), "key", "batch", "n", "num", F.lit(None).cast("string").alias("txt")))
+    single = lambda t, key, txt: tables.read(t).select(F.lit(t).alias("table"), key.alias("key"), "batch", F.lit(1).cast("long").alias("n"), none.alias("num"), txt.alias("txt"))
+    name = F.substring_index("filename", ".", 1)
+    parts += [single("outcome", name, F.col("status")), single("error_record", name, F.col("error_type")), single("employee", F.col("codice_fiscale"), F.lit(None).cast("string"))]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Store: documents as files, their hash the key
 
 
@@ -272,9 +317,12 @@ def a1(s, d):
 
 @add("p1_skip_known", HASHED + "SELECT filename, sha256 IN (SELECT sha256 FROM f WHERE doc_id % 3 = 0 AND doc_id % 2 = 0) AS skipped FROM f", "")
 def p1(s, d):
+    """A registry on storage has every third document; even ones of these with a good outcome."""
     f = files(s, d)
-    reg = f.where("doc_id % 3 = 0").select("sha256", F.when(F.col("doc_id") % 2 == 0, "PROCESSED").otherwise("NEEDS_REVIEW").alias("status"))
+    reg = Registry(s, f"registry_{uuid.uuid4().hex}", new_folder(s))
+    reg.record(f.where("doc_id % 3 = 0").select("sha256", F.when(F.col("doc_id") % 2 == 0, "PROCESSED").otherwise("NEEDS_REVIEW").alias("status")), "0001")
     new, known = S.skip_known(f, reg)
+    reg.forget()
     return new.select("filename", F.lit(False).alias("skipped")).unionByName(known.select("filename", F.lit(True).alias("skipped")))
 
 
