@@ -203,6 +203,22 @@ def test_bundle(spark):
     assert {(r["name"], r["expected"], r["found"]) for r in off} == {("payroll_period", 1, 0), ("payroll_totals", 1, None)}
 
 
+def test_bundle_tells_every_difference(spark):
+    kinds = "id string, document_id string, tipo string, severita string, messaggio string, campo string, created_at timestamp"
+    notes = spark.createDataFrame([("a", "1", "t", "info", "é\n\"x\"", None, TS), ("a", "1", "t", "info", "é\n\"x\"", None, TS), ("b", "2", "t", "error", "", "f", None)], kinds)
+    words = [(("w", 1.5, 2.0, 1e-9, 3.0),)]
+    raw = spark.createDataFrame([("r", "1", "", [w[0] for w in words], [], {"b": "1", "a": "2"}, False), ("s", "2", "x", [], ["u"], {}, None)], schemas.ddl("raw_extraction"))
+    tables = {"anomaly": notes, "raw_extraction": raw, "tax": empty(spark, "tax")}
+    path = B.export_bundle(tables, new_folder(spark), datetime.datetime(2025, 7, 15))
+    assert {tuple(r) for r in B.verify_bundle(spark, path).collect()} == {("anomaly", 3, 3, True), ("raw_extraction", 2, 2, True), ("tax", 0, 0, True)}
+    back = B.import_bundle(spark, path)
+    assert {tuple(r) for r in B.differences(tables, back).collect()} == {("anomaly", 3, 0, 0), ("raw_extraction", 2, 0, 0), ("tax", 0, 0, 0)}
+    other = dict(back, anomaly=notes.limit(0).unionByName(notes.where("id = 'a'").limit(1)).unionByName(notes.where("id = 'b'").withColumn("campo", F.lit("g"))))
+    assert {tuple(r) for r in B.differences(tables, other).where("name = 'anomaly'").collect()} == {("anomaly", 3, 2, 1)}
+    notes.where("id = 'a'").withColumn("created_at", F.col("created_at").cast("string")).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/anomaly")
+    assert {tuple(r) for r in B.verify_bundle(spark, path).where("not same").collect()} == {("anomaly", 3, 2, False)}
+
+
 def test_ingest(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"ciao mondo")
     (tmp_path / "b.PDF").write_bytes(b"x")

@@ -218,7 +218,7 @@ def period_z(header: DataFrame, lines: DataFrame) -> DataFrame:
     said = lines.groupBy("doc_id").agg(F.min_by(kind, F.when(kind.isNotNull(), F.col("doc_row"))).alias("said"))
     t = F.coalesce("tipo_costo", F.lit(""))
     my = X.parse_italian_month_year(t)
-    out = header.select("doc_id", "tipo_costo").join(said, "doc_id", "left")
+    out = header.select("doc_id", "tipo_costo").join(said.hint("merge"), "doc_id", "left")
     return out.select("doc_id", F.coalesce(my["mese"], F.lit(0)).alias("mese"), F.coalesce(my["anno"], F.lit(0)).alias("anno"), F.when(F.upper(t).rlike(r"\bAGG\."), EXTRA).otherwise(F.coalesce("said", F.lit(ORDINARY))).alias("tipo"), t.alias("label"))
 
 
@@ -318,7 +318,7 @@ def attach_notes(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     noise = F.trim("text").rlike(r"^\d{1,2}$") | F.col("norm").isin([X.label(t) for t in ("CONGUAGLIO", "PROGRESSIVI", "T.F.R.")]) | (F.trim("text") == "")
     r = parsed.where(F.col("is_line") | ~noise).withColumn("g", F.sum(F.col("is_line").cast("int")).over(in_doc().rowsBetween(Window.unboundedPreceding, 0)))
     notes = r.where(~F.col("is_line") & (F.col("g") > 0)).groupBy("doc_id", "g").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_row", "text"))), lambda x: x["text"]), " | ").alias("n"))
-    lines = r.where("is_line").join(notes, ["doc_id", "g"], "left").withColumn("note", F.col("n")).drop("g", "n")
+    lines = r.where("is_line").join(notes.hint("merge"), ["doc_id", "g"], "left").withColumn("note", F.col("n")).drop("g", "n")
     return lines, r.where(~F.col("is_line") & (F.col("g") == 0)).drop("g")
 
 
@@ -395,14 +395,14 @@ def mapped_totals(rows: DataFrame, labels: dict[str, str]) -> DataFrame:
 def out_of_range(lines: DataFrame, rows: DataFrame) -> DataFrame:
     """doc_id, error of documents with a number that no amount column can hold, in a pay line or a row of totals.
 
-    lines: section rows with is_line and words; rows: all rows of a layout. Numbers elsewhere, as account numbers, are no
+    lines: section rows with is_line and words; rows: all rows of a layout; a document may be told several times. Numbers elsewhere, as account numbers, are no
     amounts."""
     bad = lambda c: F.exists(c, lambda w: X.out_of_range(w["text"]))
     total = has("TOTALE COMPETENZE") | has("TOTALE TRATTENUTE") | has("Totale Ritenute")
     at = rows.select("doc_id", "words", F.lag(total, 1, False).over(in_doc()).alias("under"), total.alias("total"))
     at = at.where(F.col("total") | F.col("under")).where(bad("words"))
     hit = lines.where("is_line").where(bad(F.slice("words", F.lit(2), F.size("words")))).select("doc_id").unionByName(at.select("doc_id"))
-    return hit.distinct().withColumn("error", F.lit("number out of range"))
+    return hit.withColumn("error", F.lit("number out of range"))
 
 
 def unmapped_rows(rows: DataFrame) -> DataFrame:
@@ -467,8 +467,8 @@ def tax_s(rows: DataFrame) -> DataFrame:
         f = F.when((low(w) == "imposta") & low(nxt).startswith("lord"), "irpef_lorda").when((low(w) == "imposta") & low(nxt).startswith("nett"), "ritenute_irpef").when(low(w).startswith("lav") & low(prev).startswith("detr"), "detrazioni_lav_dip")
         return F.struct(F.when(low(w).startswith("lav"), prev["x0"]).otherwise(w["x0"]).alias("x0"), f.alias("field"))
     r = r.withColumn("mk", F.filter(F.transform("words", marker), lambda m: m["field"].isNotNull()))
-    r = r.withColumn("box", C.nearest_column(F.col("mk"), F.col("nxt"), 40.0))
     boxed = (F.size("mk") > 0) & F.col("nxt").isNotNull()
+    r = r.withColumn("box", F.when(boxed, C.nearest_column(F.col("mk"), F.col("nxt"), 40.0)))
     begin = F.min(F.when(has("ADDIZIONALI"), F.col("doc_row"))).over(Window.partitionBy("doc_id"))
     r = r.withColumn("b", begin)
     stop = F.min(F.when(has("Descrizione Imponibile Fiscale") & (F.col("doc_row") > F.col("b")), F.col("doc_row"))).over(Window.partitionBy("doc_id"))
@@ -493,7 +493,7 @@ def tax_s(rows: DataFrame) -> DataFrame:
 
 
 def imponibile_fiscale_annuo(rows: DataFrame) -> DataFrame:
-    r = rows.withColumn("amt", X.first_amount(F.lead("words").over(in_doc())))
+    r = rows.select("doc_id", "doc_row", "norm", X.first_amount(F.col("words")).alias("own")).withColumn("amt", F.lead("own").over(in_doc()))
     return r.groupBy("doc_id").agg(_first(F.col("amt"), has("Imp.Fisc.Annuo") & F.col("amt").isNotNull()).alias("imponibile_fiscale_annuo"))
 
 
@@ -510,7 +510,8 @@ def annual_summary(rows: DataFrame) -> DataFrame:
 def _box(rows: DataFrame, cond: Column, fields: list[tuple[str, str]], tol: float, name: str) -> Column:
     """Aggregate: nearest-column map of the first row that fits cond and has a row below."""
     m = C.nearest_column(C.markers_where(F.col("words"), fields), F.col("nxt"), tol)
-    return F.min_by(m, F.when(cond & F.col("nxt").isNotNull(), F.col("doc_row"))).alias(name)
+    hit = cond & F.col("nxt").isNotNull()
+    return F.min_by(F.when(hit, m), F.when(hit, F.col("doc_row"))).alias(name)
 
 
 def tfr(rows: DataFrame, layout: str) -> DataFrame:
@@ -532,7 +533,8 @@ def tfr(rows: DataFrame, layout: str) -> DataFrame:
         out = r.groupBy("doc_id").agg(_box(r, c & d, [("retribuz", "retribuzione_utile_tfr")], 60.0, "m"), _box(r, a & b, [("accant", "quota_anno"), ("anticipazioni", "anticipi")], 60.0, "n"))
         return out.select("doc_id", _field(F.col("m"), "retribuzione_utile_tfr").alias("retribuzione_utile_tfr"), *[_field(F.col("n"), f).alias(f) for f in ("quota_anno", "anticipi")])
     c, d, e = both("retr", "utile", "tfr")
-    useful = F.min_by(X.first_amount(F.col("nxt")), F.when(c & d & e & F.col("nxt").isNotNull(), F.col("doc_row")))
+    hit = c & d & e & F.col("nxt").isNotNull()
+    useful = F.min_by(F.when(hit, X.first_amount(F.col("nxt"))), F.when(hit, F.col("doc_row")))
     out = r.groupBy("doc_id").agg(useful.alias("retribuzione_utile_tfr"), _box(r, a & b, [("accant", "quota_anno"), ("tesoreria", "quota_tfr_fondi"), ("anticipazioni", "anticipi")], 40.0, "n"))
     return out.select("doc_id", "retribuzione_utile_tfr", *[_field(F.col("n"), f).alias(f) for f in ("quota_anno", "quota_tfr_fondi", "anticipi")])
 
@@ -599,9 +601,10 @@ def progressivi(rows: DataFrame) -> DataFrame:
         for k, n in names.items():
             f = F.when((w["text"] == k) & ~again, n).otherwise(f)
         return F.struct(w["x0"].alias("x0"), f.alias("field"))
-    r = rows.withColumns({"nxt": F.lead("words").over(in_doc()), "mk": F.filter(F.transform("words", marker), lambda m: m["field"].isNotNull())})
-    hit = F.col("norm").startswith(X.label("PROGRESSIVI")) & (F.size("mk") > 0) & F.col("nxt").isNotNull()
-    out = r.groupBy("doc_id").agg(F.min_by(C.nearest_column(F.col("mk"), F.col("nxt"), 60.0), F.when(hit, F.col("doc_row"))).alias("m"))
+    titled = F.col("norm").startswith(X.label("PROGRESSIVI"))
+    r = rows.withColumns({"nxt": F.lead("words").over(in_doc()), "mk": F.when(titled, F.filter(F.transform("words", marker), lambda m: m["field"].isNotNull()))})
+    hit = titled & (F.size("mk") > 0) & F.col("nxt").isNotNull()
+    out = r.groupBy("doc_id").agg(F.min_by(F.when(hit, C.nearest_column(F.col("mk"), F.col("nxt"), 60.0)), F.when(hit, F.col("doc_row"))).alias("m"))
     return out.select("doc_id", *[_field(F.col("m"), n).alias(n) for n in names.values()])
 
 
@@ -609,14 +612,13 @@ def totals_z(rows: DataFrame) -> DataFrame:
     """Earnings and deductions after their labels (the last label row counts, even without amount), net in the two rows
     under its label, IBAN; a row counts for the first label that it has."""
     lab = F.when(has("TOTALE COMPETENZE"), "e").when(has("TOTALE TRATTENUTE"), "d").when(F.col("norm") == X.label("NETTO DEL MESE"), "n").when(F.col("norm").contains("iban"), "i")
-    net = F.coalesce(*[X.first_amount(F.lead("words", k).over(in_doc())) for k in (1, 2)])
+    net = F.coalesce(*[F.lead("amt", k).over(in_doc()) for k in (1, 2)])  # a number moves along the document, not its row
     p = r"IBAN\s+([A-Z]{2}\s*[A-Z0-9\s]+)"
-    r = rows.withColumn("lab", lab).withColumn("net", F.when(F.col("lab") == "n", net))
     k = lambda x: F.col("lab") == x
-    return r.groupBy("doc_id").agg(
-        _last(X.amount_after_label(F.col("words"), X.label("TOTALE COMPETENZE")), k("e")).alias("totale_competenze"), _last(X.amount_after_label(F.col("words"), X.label("TOTALE TRATTENUTE")), k("d")).alias("totale_trattenute"),
-        _last(F.col("net"), k("n") & F.col("net").isNotNull()).alias("netto_mese"), _last(F.regexp_replace(_g(p, 1), r"\s+", ""), k("i") & F.col("text").rlike(p)).alias("iban"),
-    )
+    after = lambda x, t: F.when(k(x), X.amount_after_label(F.col("words"), X.label(t)))
+    r = rows.withColumn("lab", lab).select("doc_id", "doc_row", "lab", X.first_amount(F.col("words")).alias("amt"), after("e", "TOTALE COMPETENZE").alias("e"), after("d", "TOTALE TRATTENUTE").alias("d"), F.when(k("i") & F.col("text").rlike(p), F.regexp_replace(_g(p, 1), r"\s+", "")).alias("iban"))
+    r = r.withColumn("net", F.when(k("n"), net))
+    return r.groupBy("doc_id").agg(_last(F.col("e"), k("e")).alias("totale_competenze"), _last(F.col("d"), k("d")).alias("totale_trattenute"), _last(F.col("net"), k("n") & F.col("net").isNotNull()).alias("netto_mese"), _last(F.col("iban"), k("i") & F.col("iban").isNotNull()).alias("iban"))
 
 
 def totals_c(rows: DataFrame) -> DataFrame:
@@ -624,15 +626,15 @@ def totals_c(rows: DataFrame) -> DataFrame:
     one before, net in the four rows under it."""
     plain = lambda c: F.transform(c, lambda w: F.struct(w["text"].alias("text"), w["x0"].alias("x0"), w["x1"].alias("x1"), w["top"].alias("top"), w["bottom"].alias("bottom")))
     r = rows.withColumn("nxt", F.lead("words").over(in_doc())).withColumn("is_total", has("Totale Ritenute") & has("Totale Competenze"))
-    r = r.withColumn("tv", F.when(F.col("is_total"), X.amounts(X.enriched(C.repair_split_amounts(plain("nxt"))))))
+    netto = F.col("norm").contains("netto") & F.col("norm").contains("pagare")
+    # Only a row with a word of twelve digits can hold an account.
+    acct = F.when(F.col("text").rlike(r"\d{12}"), C.find_iban(F.col("words")))
+    r = r.select("doc_id", "doc_row", F.when(F.col("is_total"), X.amounts(X.enriched(C.repair_split_amounts(plain("nxt"))))).alias("tv"), "is_total", netto.alias("netto"), X.first_amount(F.col("words")).alias("amt"), acct.alias("here"))
     total = F.col("is_total") & (F.size("tv") > 0)
     first, last = F.get("tv", F.lit(0))["amt"], F.try_element_at("tv", F.lit(-1))["amt"]
-    netto = F.col("norm").contains("netto") & F.col("norm").contains("pagare")
-    r = r.withColumns({f"w{k}": F.lead("words", k).over(in_doc()) for k in (-1, 1, 2, 3, 4)}).withColumn("netto", netto)
-    acct = F.coalesce(C.find_iban(F.col("words")), C.find_iban(F.col("w-1")))
-    net = F.coalesce(*[X.first_amount(F.col(f"w{k}")) for k in (1, 2, 3, 4)])
-    r = r.withColumns({"acct": F.when(F.col("netto"), acct), "net": F.when(F.col("netto"), net)})
     netto = F.col("netto")
+    net = F.coalesce(*[F.lead("amt", k).over(in_doc()) for k in (1, 2, 3, 4)])
+    r = r.withColumns({"acct": F.when(netto, F.coalesce("here", F.lag("here").over(in_doc()))), "net": F.when(netto, net)})
     two = F.size("tv") >= 2
     return r.groupBy("doc_id").agg(_last(last, total).alias("totale_competenze"), _last(first, total & two).alias("totale_trattenute"), _last(F.col("net"), netto & F.col("net").isNotNull()).alias("netto_mese"), _last(F.col("acct"), netto & F.col("acct").isNotNull()).alias("iban"))
 
@@ -644,7 +646,7 @@ def amount_below_label(words: DataFrame, label: str, x_pad: float = 30.0, max_dy
     """
     labels = words.where(F.col("text") == label).groupBy("doc_id").agg(F.min_by(F.struct("x0", "top"), F.struct("page", "seq")).alias("l"))
     amt = X.parse_amount(F.col("text"))
-    w = words.join(labels, "doc_id").where((F.col("top") > F.col("l.top")) & (F.col("top") <= F.col("l.top") + max_dy) & (F.abs(F.col("x0") - F.col("l.x0")) <= x_pad))
+    w = words.join(labels.hint("merge"), "doc_id").where((F.col("top") > F.col("l.top")) & (F.col("top") <= F.col("l.top") + max_dy) & (F.abs(F.col("x0") - F.col("l.x0")) <= x_pad))
     return w.withColumn("amt", amt).where("amt is not null").groupBy("doc_id").agg(F.min_by("amt", F.struct("top", "page", "seq")).alias("amount"))
 
 
@@ -655,11 +657,10 @@ def totals_s(rows: DataFrame, words: DataFrame) -> DataFrame:
         return F.get(F.filter(c, lambda w: w["amt"].isNotNull() & (w["x0"] >= lo) & (w["x0"] < hi)), F.lit(0))["amt"]
     found = F.lit(None)
     for k in (3, 2, 1):
-        nxt = F.lead("words", k).over(in_doc())
-        t, c = zone(nxt, 455.0, 520.0), zone(nxt, 520.0, float("inf"))
+        t, c = (F.lead(x, k).over(in_doc()) for x in ("t", "c"))
         found = F.when(t.isNotNull() | c.isNotNull(), F.struct(t.alias("t"), c.alias("c"))).otherwise(found)
-    r = rows.withColumn("f", found)
-    out = r.groupBy("doc_id").agg(F.min_by("f", F.when(has("Totale Trattenute Totale Competenze"), F.col("doc_row"))).alias("f"))
+    r = rows.select("doc_id", "doc_row", has("Totale Trattenute Totale Competenze").alias("label"), zone(F.col("words"), 455.0, 520.0).alias("t"), zone(F.col("words"), 520.0, float("inf")).alias("c")).withColumn("f", found)
+    out = r.groupBy("doc_id").agg(F.min_by("f", F.when(F.col("label"), F.col("doc_row"))).alias("f"))
     acct = words.where(I.iban_format(F.col("text"))).groupBy("doc_id").agg(F.min_by("text", F.struct("page", "seq")).alias("iban"))
     out = out.select("doc_id", F.col("f.c").alias("totale_competenze"), F.col("f.t").alias("totale_trattenute"))
-    return out.join(amount_below_label(words, "NETTO").withColumnRenamed("amount", "netto_mese"), "doc_id", "left").join(acct, "doc_id", "left")
+    return out.join(amount_below_label(words, "NETTO").withColumnRenamed("amount", "netto_mese").hint("merge"), "doc_id", "left").join(acct.hint("merge"), "doc_id", "left")

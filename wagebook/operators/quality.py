@@ -94,7 +94,7 @@ def rule_format(docs: DataFrame, totals: DataFrame) -> DataFrame:
 
 
 def rule_no_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    return _anomaly(docs.join(lines.select("doc_id"), "doc_id", "left_anti"), 14, "nessuna_riga_voce", "warning", "Nessuna riga voce", "pay_lines")
+    return _anomaly(docs.join(lines.select("doc_id").hint("merge"), "doc_id", "left_anti"), 14, "nessuna_riga_voce", "warning", "Nessuna riga voce", "pay_lines")
 
 
 def rule_net(totals: DataFrame, tol: str = "1.50") -> DataFrame:
@@ -113,5 +113,5 @@ def all_anomalies(*parts: DataFrame) -> DataFrame:
 def determine_status(docs: DataFrame, anomalies: DataFrame) -> DataFrame:
     """doc_id, status, anomalies: an error needs review, any other anomaly is told, none is processed."""
     per = anomalies.groupBy("doc_id").agg(F.bool_or(F.col("severita") == "error").alias("e"), F.count(F.lit(1)).alias("n"))
-    out = docs.select("doc_id").join(per, "doc_id", "left")
+    out = docs.select("doc_id").join(per.hint("merge"), "doc_id", "left")
     return out.select("doc_id", F.when(F.col("e"), "NEEDS_REVIEW").when(F.col("n") > 0, "PROCESSED_WITH_ANOMALIES").otherwise("PROCESSED").alias("status"), F.coalesce("n", F.lit(0)).cast("int").alias("anomalies"))

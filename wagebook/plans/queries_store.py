@@ -506,6 +506,26 @@ def a6(s, d):
     return B.reconcile_counts(B.table_counts(t), B.table_counts({"employee": t["employee"], "payroll_period": t["payroll_period"], "payroll_document": even}))
 
 
+#: Rows of all tables after a run over all payslips.
+COUNTED = FAULTS + f""", g AS (SELECT *, cf = '' OR row_number() OVER (PARTITION BY cf, nat, layout, mese, anno ORDER BY doc_id || '.pdf') = 1 AS stored FROM st),
+f AS MATERIALIZED (SELECT *, {NAMES} AS company FROM g WHERE stored),
+n AS (SELECT count(*) AS docs, sum(n_lines + CASE WHEN layout > 0 THEN 1 ELSE 0 END) AS lines, sum(n_anomalies) AS notes, count(DISTINCT company) AS companies, count(DISTINCT cf) FILTER (cf <> '') AS people, count(DISTINCT (cf, company)) FILTER (cf <> '') AS jobs, count(DISTINCT (mese, anno)) AS periods FROM f),
+leave AS (SELECT count(*) AS n FROM ({" UNION ALL ".join(f"SELECT doc_id FROM ({BLOCKS[n]})" for n in ("g7_leave_z", "g7_leave_c", "g7_leave_s"))}) JOIN f USING (doc_id))
+SELECT unnest(['company', 'employee', 'employment', 'payroll_period', 'payroll_document', 'pay_line', 'tax', 'tfr', 'leave_balance', 'payroll_totals', 'anomaly', 'raw_extraction', 'audit_event']) AS name,
+  CAST(unnest([companies, people, jobs, periods, docs, lines, docs, docs, (SELECT n FROM leave), docs, notes, docs, docs]) AS BIGINT) AS rows, 0::BIGINT AS missing, 0::BIGINT AS extra, true AS same FROM n"""
+
+
+@add("a3_a6_whole_bundle", COUNTED)
+def a3_a6(s, d):
+    """All 13 tables of a run are exported, held against the bundle's manifest, imported and compared row by row."""
+    p = parsed(s, d)
+    found = stored(process.anomalies(p))
+    tables = {t: stored(x) for t, x in process.model(p, found, "run", "2024-01-01").items()}
+    path = B.export_bundle(tables, new_folder(s), AT)
+    off = B.differences(tables, B.import_bundle(s, path))
+    return off.join(B.verify_bundle(s, path).select("name", "same"), "name")
+
+
 @add("a7_upgrade_schema", "SELECT doc_id, cust AS employee_no, CAST(NULL AS VARCHAR) AS note, earn AS competenza FROM d")
 def a7(s, d):
     old = slips(s, d).select(F.col("doc_id").alias("document_id"), F.col("cust").cast("string").alias("codice_causale"), F.col("totale_competenze").cast("string").alias("competenza"), F.lit("gone").alias("old_column"))

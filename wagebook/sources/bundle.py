@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wagebook import schemas
@@ -24,7 +25,7 @@ def raw_extraction(pages: DataFrame, words: DataFrame, unmapped: DataFrame, ocr:
     text = pages.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "full_text"))), lambda x: x["full_text"]), "\n\n").alias("full_text"))
     w = F.struct("page", "seq", F.struct("text", "x0", "x1", "top", "bottom").alias("w"))
     flat = words.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(w)), lambda x: x["w"]).alias("words"))
-    out = text.join(flat, "doc_id", "left").join(unmapped.select("doc_id", F.col("texts").alias("unrecognized_rows")), "doc_id", "left")
+    out = text.join(flat.hint("merge"), "doc_id", "left").join(unmapped.select("doc_id", F.col("texts").alias("unrecognized_rows")).hint("merge"), "doc_id", "left")
     return out.select("doc_id", "full_text", F.coalesce("words", F.array().cast(flat.schema["words"].dataType)).alias("words"), F.coalesce("unrecognized_rows", F.array().cast("array<string>")).alias("unrecognized_rows"), F.create_map().cast("map<string,string>").alias("font_metadata"), F.lit(ocr).alias("ocr_used"))
 
 
@@ -37,16 +38,64 @@ def bundle_name(exported_at: datetime) -> str:
     return f"{exported_at:%Y%m%dT%H%M%SZ}_{schemas.VERSION}"
 
 
+def line(df: DataFrame) -> Column:
+    """A row of df as one text: nulls are told, maps are in the order of their keys."""
+    cols = [F.array_sort(F.map_entries(n)).alias(n) if t.startswith("map") else F.col(n) for n, t in df.dtypes]
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+
+
+def measures(df: DataFrame) -> list[Column]:
+    """Aggregates n, the number of rows, and digest, a sum over rows that does not depend on their order."""
+    return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64(line(df)).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).cast("string").alias("digest")]
+
+
 def export_bundle(tables: dict[str, DataFrame], folder: str, exported_at: datetime, max_rows: int = 500_000) -> str:
-    """One JSON-lines dataset per table, nulls kept, in import order; returns the bundle's path."""
-    path = f"{folder.rstrip('/')}/{bundle_name(exported_at)}"
-    for name in schemas.TABLES:
-        if name in tables:
-            as_text(tables[name]).write.option("ignoreNullFields", "false").option("maxRecordsPerFile", max_rows).json(f"{path}/{name}")
-    export_manifest(tables, exported_at).coalesce(1).write.json(f"{path}/manifest")
+    """One JSON-lines dataset per table, nulls kept, in import order; returns the bundle's path.
+
+    Each table is read once: its rows are counted and digested while they are written. The manifest is written last, so a
+    folder without one is no bundle.
+    """
+    path, found = f"{folder.rstrip('/')}/{bundle_name(exported_at)}", {}
+    for name in (t for t in schemas.TABLES if t in tables):
+        rows, seen = as_text(tables[name]), Observation(f"{name}_{uuid.uuid4().hex}")
+        rows.observe(seen, *measures(rows)).write.option("ignoreNullFields", "false").option("maxRecordsPerFile", max_rows).json(f"{path}/{name}")
+        found[name] = seen.get
+    if found:
+        spark = next(iter(tables.values())).sparkSession
+        counts, digests = {t: x["n"] for t, x in found.items()}, {t: x["digest"] for t, x in found.items()}
+        _manifest(spark, exported_at, counts, digests).coalesce(1).write.json(f"{path}/manifest")
     return path
 
 
+def _manifest(spark: SparkSession, exported_at: datetime, counts: dict[str, int], digests: dict[str, str]) -> DataFrame:
+    kinds = "schema_version string, exported_at string, import_order array<string>, row_counts map<string,bigint>, digests map<string,string>"
+    return spark.createDataFrame([(schemas.VERSION, exported_at.isoformat(), list(counts), counts, digests)], kinds)
+
+
+def verify_bundle(spark: SparkSession, path: str) -> DataFrame:
+    """name, expected, found, same of each table that the manifest tells: its rows as told and as read back, and whether number
+    and digest agree. A bundle without digests is held to its numbers alone."""
+    told = spark.read.schema("row_counts map<string,bigint>, digests map<string,string>").json(f"{path}/manifest").first()
+    parts = []
+    for name, df in import_bundle(spark, path).items():
+        rows, digest = as_text(df), (told["digests"] or {}).get(name)
+        same = F.col("n") == told["row_counts"][name]
+        same = same & (F.col("digest") == digest) if digest is not None else same
+        parts.append(rows.agg(*measures(rows)).select(F.lit(name).alias("name"), F.lit(told["row_counts"][name]).alias("expected"), F.col("n").alias("found"), same.alias("same")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def differences(tables: dict[str, DataFrame], back: dict[str, DataFrame]) -> DataFrame:
+    """name, rows, missing, extra: rows of each table, those that the other side lacks, and those that only it has; a row that
+    repeats counts as often as it does."""
+    parts = []
+    for name in [t for t in schemas.TABLES if t in tables or t in back]:
+        sides = [as_text(x[name]).select(line(as_text(x[name])).alias("row"), F.lit(k).alias("k")) for x, k in ((tables, 1), (back, -1)) if name in x]
+        per = reduce(DataFrame.unionByName, sides).groupBy("row").agg(F.sum("k").alias("k"), F.count_if(F.col("k") > 0).alias("n"))
+        parts.append(per.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(a) for a, c in (("rows", F.col("n")), ("missing", F.greatest("k", F.lit(0))), ("extra", F.greatest(-F.col("k"), F.lit(0))))]).select(F.lit(name).alias("name"), "rows", "missing", "extra"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """name, n of each table, in one job."""
     return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, df in tables.items()])
