@@ -71,6 +71,7 @@ class WordBPE:
                     self.shorter[i] = k
                     break
         self.longest.make_automaton()
+        self.reach = max(map(len, self.tokens))
         self.cache: dict[str, bytes] = {}
         # Offset table over token texts, each followed by the space that parts tokens.
         texts = [b""] * (1 + max(max(self.vocab.values()), *self.special.values()))
@@ -102,13 +103,18 @@ class WordBPE:
         self.pairs[a, b] = good
         return good
 
+    def longest_at(self, word: str, at: int) -> int:
+        """The longest token that begins at a place of word. Only as much of the word is looked at as a token can have, as the
+        automaton takes time for all it is given."""
+        return next(self.longest.iter_long(word[at : at + self.reach]))[1]
+
     def encode_piece(self, piece: str) -> list[int]:
         """Own numbers of the tokens of one piece."""
         word = "".join(self.letters[b] for b in piece.encode()) + END
         n, at, out = len(word), 0, []
         alive = bytearray(b"\1") * (n + 1)
         alive[n - 1] = 0  # the last letter and the suffix are one symbol
-        token = next(self.longest.iter_long(word))[1]
+        token = self.longest_at(word, 0)
         while at < n:
             last = out[-1] if out else -1
             while True:
@@ -117,7 +123,7 @@ class WordBPE:
                     out.append(token)
                     at = end
                     if at < n:
-                        token = next(self.longest.iter_long(word, at))[1]
+                        token = self.longest_at(word, at)
                     break
                 if self.shorter[token] >= 0:
                     token = self.shorter[token]
