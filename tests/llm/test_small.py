@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import os
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -243,6 +244,22 @@ def test_bpe_odd_texts():
         assert own.decode(ids).decode() == t.decode(want, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("text", ["ab", "中文字", "aaaaaaab", "xqzj"])
+def test_bpe_time_grows_with_the_word(text):
+    from tokenizers import Tokenizer
+
+    own, t = bpe.WordBPE(bpe.default_path()), Tokenizer.from_file(bpe.default_path())
+    took = {}
+    for n in (20_000, 320_000):
+        piece = (text * n)[:n]
+        began = time.time()
+        got = own.ids[own.encode_piece(piece)].tolist()
+        took[n] = time.time() - began
+        if n == 20_000:
+            assert got == t.encode(piece, add_special_tokens=False).ids
+    assert took[320_000] < 12 and took[320_000] < 48 * took[20_000] + 1
+
+
 def test_bpe_tokens_are_their_own_encoding():
     own = bpe.WordBPE(bpe.default_path())
     whole = [i for i, t in enumerate(own.tokens) if t.endswith(bpe.END)]
@@ -371,7 +388,7 @@ def test_sharding(spark, docs, rows, empty):
     again = {(r["doc_id"], r["shard"], r["slot"]) for r in sharding.query(spark, docs.repartition(3)).collect()}
     assert again == {(r["doc_id"], r["shard"], r["slot"]) for r in got}
     assert sharding.query(spark, empty).count() == 0
-    few = sharding.shuffled(docs.select("doc_id"), ["doc_id"], 3, block_rows=20)
+    few = sharding.shuffled(docs.select("doc_id"), ["doc_id"], 3, blocks=13)
     assert sorted(Counter(r["shard"] for r in few.collect()).values()) == sorted(len(rows) // 3 + (k < len(rows) % 3) for k in range(3))
 
 
@@ -396,7 +413,7 @@ def test_sharding_is_what_the_matrix_says(spark):
         part = lambda r: ((r["h2"] % 2**64) >> 20) % 4096
         for slot, r in enumerate(sorted(rows, key=lambda r: (part(r), r["h2"], least(r["k"]), r["n"]))):
             want[r["n"]] = (s, slot)
-    got = sharding.shuffled(df, ["k", "n"], 3, seed=5, block_rows=40)
+    got = sharding.shuffled(df, ["k", "n"], 3, seed=5, blocks=8)
     assert {r["n"]: (r["shard"], r["slot"]) for r in got.collect()} == want
 
 

@@ -49,17 +49,16 @@ def communication_matrix(block_rows: list[int], shard_rows: list[int], seed: int
     return out
 
 
-def shuffled(rows: DataFrame, key: list[str], shards: int, seed: int = 7, block_rows: int = 100_000, max_blocks: int = 4096, parts: int = 4096) -> DataFrame:
+def shuffled(rows: DataFrame, key: list[str], shards: int, seed: int = 7, blocks: int = 4096, parts: int = 4096) -> DataFrame:
     """rows with shard (0 to shards - 1; row counts differ by one at most) and slot (0 to the shard's rows - 1).
 
     key: columns that tell rows apart; the same rows and seed give the same result however they are partitioned. Rows
     equal in all of key are interchangeable; null keys are keys like others. rows should be narrow, as they are exchanged twice. The driver holds the
-    matrix, of max_blocks * shards numbers at most; a block or part of a shard that one task sorts has about
-    rows / max_blocks or rows / (shards * parts) rows. No rows give no rows.
+    matrix, of blocks * shards numbers, at any number of rows; a block or part of a shard that one task sorts has about
+    rows / blocks or rows / (shards * parts) rows. Some blocks of few rows are empty. No rows give no rows.
     """
     rows = written(rows.select("*", *[F.xxhash64(F.lit(f"{seed}/{k}"), *key).alias(f"_h{k}") for k in range(3)]))
     total = rows.count()
-    blocks = max(1, min(max_blocks, -(-total // block_rows), total))
     rows = rows.withColumn("_block", F.pmod("_h0", F.lit(blocks)).cast("int"))
     sent = {r["_block"]: r["n"] for r in rows.groupBy("_block").agg(F.count(F.lit(1)).alias("n")).collect()}
     sizes = [total // shards + (s < total % shards) for s in range(shards)]
