@@ -109,13 +109,63 @@ def cluster_rows(words: DataFrame) -> DataFrame:
     return rows.select(*PAGE, F.posexplode("rows").alias("row_idx", "r")).select(*PAGE, "row_idx", "r.top", "r.words")
 
 
+_GIVEN = "array<struct<seq:int,text:string,x0:double,x1:double,top:double,bottom:double>>"
+
+
+def _scrambled(chars: pa.ListArray, x_tol: float = 0.5, share: float = 0.20) -> np.ndarray:
+    """For each page, whose characters come in stream order, what scrambled_pages says."""
+    ends = chars.offsets.to_numpy().astype(np.int64)
+    flat, ends = chars.values.slice(ends[0], ends[-1] - ends[0]), ends - ends[0]
+    same = np.zeros(len(flat), dtype=np.int64)
+    if len(flat) > 1:
+        text, x0 = flat.field("text"), flat.field("x0").to_numpy(zero_copy_only=False)
+        differ = pc.fill_null(pc.not_equal(text.slice(1), text.slice(0, len(text) - 1)), False).to_numpy(zero_copy_only=False)
+        same[1:] = differ & (np.abs(np.diff(x0)) <= x_tol)
+    n, upto = np.diff(ends), np.concatenate([[0], np.cumsum(same)])
+    first = np.where(n > 0, same[np.minimum(ends[:-1], max(0, len(flat) - 1))] if len(flat) else 0, 0)  # meets the page before
+    return (n > 1) & ((upto[ends[1:]] - upto[ends[:-1]] - first) / np.maximum(n - 1, 1) > share)
+
+
+def _without_sidebar(chars: pa.ListArray) -> pa.ListArray:
+    ends = chars.offsets.to_numpy().astype(np.int64)
+    flat, ends = chars.values.slice(ends[0], ends[-1] - ends[0]), ends - ends[0]
+    keep = pc.fill_null(pc.greater(flat.field("x1"), SIDEBAR), False).to_numpy(zero_copy_only=False)
+    upto = np.concatenate([[0], np.cumsum(keep)])
+    return pa.ListArray.from_arrays(pa.array(upto[ends], pa.int32()), flat.filter(pa.array(keep)))
+
+
+def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of each page: as given, or put together from its characters where these are scrambled."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        given, chars = b.column(2), b.column(3)
+        bad = _scrambled(chars)
+        made = _words_in(_without_sidebar(chars.filter(pa.array(bad))))
+        ends = made.offsets.to_numpy().astype(np.int64)
+        seq = np.arange(ends[-1]) - np.repeat(ends[:-1], np.diff(ends))
+        made = pa.ListArray.from_arrays(made.offsets, pa.StructArray.from_arrays([pa.array(seq, pa.int32()), *made.values.flatten()], ["seq", "text", "x0", "x1", "top", "bottom"])).cast(given.type)
+        both = pa.concat_arrays([made, given])
+        at = np.where(bad, np.cumsum(bad) - 1, int(bad.sum()) + np.arange(len(bad)))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bad), both.take(pa.array(at))], ["doc_id", "page", "recovered", "words"])
+
+
 def page_words(words: DataFrame, chars: DataFrame) -> DataFrame:
-    """Words of clean pages as given, of scrambled pages rebuilt from characters; recovered tells which."""
-    flags = scrambled_pages(chars)
-    bad = flags.where("scrambled").select(*PAGE)
-    rebuilt = reconstruct_words(drop_sidebar(chars).join(bad, PAGE, "left_semi")).withColumn("recovered", F.lit(True))
-    clean = drop_sidebar(words).join(bad, PAGE, "left_anti").withColumn("recovered", F.lit(False))
-    return rebuilt.select(*PAGE, "seq", "text", "x0", "x1", "top", "bottom", "recovered").unionByName(clean.select(*PAGE, "seq", "text", "x0", "x1", "top", "bottom", "recovered"))
+    """Words of clean pages as given, of scrambled pages rebuilt from characters; recovered tells which.
+
+    Words and characters are exchanged once, by page; each page is then flagged, rebuilt or passed on in one go. Words of the
+    side bar go, and characters of it count for the flag only.
+    """
+    fields = ["text", "x0", "x1", "top", "bottom"]
+    word, char = F.struct(F.col("seq").cast("int").alias("seq"), *fields), F.struct("seq", F.struct(*fields).alias("w"))
+    one = lambda df, w, c: df.select(*PAGE, w.alias("word"), c.alias("char"))
+    kinds = {f: chars.schema[f].dataType.simpleString() for f in ("seq", *fields)}
+    no_char = F.lit(None).cast(f"struct<seq:{kinds['seq']},w:struct<{','.join(f'{f}:{kinds[f]}' for f in fields)}>>")
+    no_word = F.lit(None).cast("struct<seq:int,text:string,x0:double,x1:double,top:double,bottom:double>")
+    both = one(drop_sidebar(words), word, no_char).unionByName(one(chars, no_word, char))
+    pages = both.groupBy(*PAGE).agg(F.array_sort(F.collect_list("word")).alias("given"), F.transform(F.array_sort(F.collect_list("char")), lambda c: c["w"]).alias("chars"))
+    out = pages.mapInArrow(_chosen, f"doc_id string, page int, recovered boolean, words {_GIVEN}")
+    return out.select(*PAGE, F.explode("words").alias("w"), "recovered").select(*PAGE, "w.*", "recovered")
 
 
 def page_text(rows: DataFrame) -> DataFrame:

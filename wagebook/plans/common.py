@@ -53,12 +53,12 @@ def mod97(iban: str) -> str:
     return f"CAST(list_aggregate(list_transform(string_split(substr({iban}, 5) || substr({iban}, 1, 4), ''), lambda c: CAST(instr({_SYM}, c) - 1 AS VARCHAR)), 'string_agg', '') AS HUGEINT) % 97"
 
 
-WITH = f"""WITH s0 AS ({render.SLIPS}), l AS ({render.LINES}),
-t AS (SELECT doc_id, round(coalesce(sum(CASE WHEN flag <> 'R' THEN amount END), 0), 2) AS earn, round(coalesce(sum(CASE WHEN flag = 'R' THEN amount END), 0), 2) AS deduct, count(*) AS n_lines FROM l GROUP BY doc_id),
-s1 AS (SELECT s0.*, earn, deduct, n_lines, 'RSSMRA' || lpad(CAST(cust % 100 AS VARCHAR), 2, '0') || 'A' || lpad(CAST(cust // 100 AS VARCHAR), 2, '0') || 'H501' AS first15,
+WITH = f"""WITH s0 AS MATERIALIZED ({render.SLIPS}), l AS MATERIALIZED ({render.LINES}),
+t AS MATERIALIZED (SELECT doc_id, round(coalesce(sum(CASE WHEN flag <> 'R' THEN amount END), 0), 2) AS earn, round(coalesce(sum(CASE WHEN flag = 'R' THEN amount END), 0), 2) AS deduct, count(*) AS n_lines FROM l GROUP BY doc_id),
+s1 AS MATERIALIZED (SELECT s0.*, earn, deduct, n_lines, 'RSSMRA' || lpad(CAST(cust % 100 AS VARCHAR), 2, '0') || 'A' || lpad(CAST(cust // 100 AS VARCHAR), 2, '0') || 'H501' AS first15,
   'IT' || lpad(CAST(cust % 97 AS VARCHAR), 2, '0') || 'O0542811101' || lpad(CAST(cust AS VARCHAR), 12, '0') AS iban,
   CASE WHEN k % 13 = 0 THEN NULL ELSE round(abs(earn - deduct) + CASE WHEN k % 19 = 0 THEN 2 ELSE 0 END, 2) END AS net FROM s0 JOIN t USING (doc_id)),
-s2 AS (SELECT *, {cf_letter("first15")} AS letter FROM s1),
-d AS (SELECT *, first15 || CASE WHEN k % 11 = 0 THEN translate(letter, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'BCDEFGHIJKLMNOPQRSTUVWXYZA') ELSE letter END AS cf_printed,
+s2 AS MATERIALIZED (SELECT *, {cf_letter("first15")} AS letter FROM s1),
+d AS MATERIALIZED (SELECT *, first15 || CASE WHEN k % 11 = 0 THEN translate(letter, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'BCDEFGHIJKLMNOPQRSTUVWXYZA') ELSE letter END AS cf_printed,
   CASE WHEN k % 11 = 0 THEN '' ELSE first15 || letter END AS cf FROM s2)
 """

@@ -136,12 +136,12 @@ def q10(s, d):
 
 def faults(more: str = "") -> str:
     """Anomalies of the payslips that render.py prints, by fault; more: further ones, as UNION ALL of (doc_id, tipo, severita)."""
-    return f""", a AS (SELECT doc_id, 'codice_fiscale_non_valido' AS tipo, 'error' AS severita FROM d WHERE k % 11 = 0
+    return f""", a AS MATERIALIZED (SELECT doc_id, 'codice_fiscale_non_valido' AS tipo, 'error' AS severita FROM d WHERE k % 11 = 0
   UNION ALL SELECT doc_id, 'totali_mancanti', 'error' FROM d WHERE net IS NULL
   UNION ALL SELECT doc_id, 'righe_non_mappate', 'info' FROM d WHERE k % 17 = 0 AND layout > 0
   UNION ALL SELECT doc_id, 'quadratura_netto', 'warning' FROM d WHERE net IS NOT NULL AND abs(round(earn - deduct, 2) - net) > 1.5
   UNION ALL SELECT doc_id, 'iban_non_valido', 'warning' FROM d WHERE layout > 0 AND {mod97('iban')} <> 1 {more}),
-st AS (SELECT d.*, CASE WHEN bool_or(severita = 'error') THEN 'NEEDS_REVIEW' WHEN count(severita) > 0 THEN 'PROCESSED_WITH_ANOMALIES' ELSE 'PROCESSED' END AS status, count(severita) AS n_anomalies
+st AS MATERIALIZED (SELECT d.*, CASE WHEN bool_or(severita = 'error') THEN 'NEEDS_REVIEW' WHEN count(severita) > 0 THEN 'PROCESSED_WITH_ANOMALIES' ELSE 'PROCESSED' END AS status, count(severita) AS n_anomalies
   FROM d LEFT JOIN a USING (doc_id) GROUP BY ALL)
 """
 
@@ -190,7 +190,7 @@ def _long(table_name: str, *names: str, skip: tuple = (), extra: str = "", field
 BLOCKS = queries_documents.BARE
 NAMES = "CASE layout WHEN 0 THEN 'SOCIETA N' || {0} || ' SPA' WHEN 1 THEN 'SOCIETA N' || {0} || ' SRL' ELSE 'SOCIETA N' || translate({0}, '0123456789', 'ABCDEFGHIJ') || ' SRL' END".format(queries_documents.NAT2)
 REGION = ("addizionale_regionale_regione",)
-MODEL = faults("UNION ALL SELECT doc_id, 'testo_ricostruito', 'warning' FROM d WHERE k % 31 = 0 AND layout > 0") + f""", g AS (SELECT *, cf = '' OR row_number() OVER (PARTITION BY cf, nat, layout, mese, anno ORDER BY doc_id || '.pdf') = 1 AS stored FROM st),
+MODEL = faults("UNION ALL SELECT doc_id, 'testo_ricostruito', 'warning' FROM d WHERE k % 31 = 0 AND layout > 0") + f""", g AS MATERIALIZED (SELECT *, cf = '' OR row_number() OVER (PARTITION BY cf, nat, layout, mese, anno ORDER BY doc_id || '.pdf') = 1 AS stored FROM st),
 blank AS (SELECT 'blank' || c_custkey AS doc_id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders))
 """ + " UNION ALL ".join([
     *_long("tax", "g2_tax_z", "g2_tax_s", skip=REGION), *_long("tax", "g2_tax_c", "g3_imponibile_previdenziale", "g4_imponibile_fiscale_annuo", "g5_annual_summary"), *_long("tfr", "g6_tfr_z", "g6_tfr_c", "g6_tfr_s"),
@@ -507,7 +507,7 @@ def a6(s, d):
 
 
 #: Rows of all tables after a run over all payslips.
-COUNTED = FAULTS + f""", g AS (SELECT *, cf = '' OR row_number() OVER (PARTITION BY cf, nat, layout, mese, anno ORDER BY doc_id || '.pdf') = 1 AS stored FROM st),
+COUNTED = FAULTS + f""", g AS MATERIALIZED (SELECT *, cf = '' OR row_number() OVER (PARTITION BY cf, nat, layout, mese, anno ORDER BY doc_id || '.pdf') = 1 AS stored FROM st),
 f AS MATERIALIZED (SELECT *, {NAMES} AS company FROM g WHERE stored),
 n AS (SELECT count(*) AS docs, sum(n_lines + CASE WHEN layout > 0 THEN 1 ELSE 0 END) AS lines, sum(n_anomalies) AS notes, count(DISTINCT company) AS companies, count(DISTINCT cf) FILTER (cf <> '') AS people, count(DISTINCT (cf, company)) FILTER (cf <> '') AS jobs, count(DISTINCT (mese, anno)) AS periods FROM f),
 leave AS (SELECT count(*) AS n FROM ({" UNION ALL ".join(f"SELECT doc_id FROM ({BLOCKS[n]})" for n in ("g7_leave_z", "g7_leave_c", "g7_leave_s"))}) JOIN f USING (doc_id))

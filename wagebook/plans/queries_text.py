@@ -233,6 +233,14 @@ def char_pages(s, d):
     return ch.select("doc_id", "page", "seq", "text", x.alias("x0"), (x + 5).alias("x1"), F.lit(50.0).alias("top"), F.lit(60.0).alias("bottom"))
 
 
+def word_pages(s, d):
+    """Words of the same pages, as they would be extracted: the side bar, then both halves of the name."""
+    halves = F.split("c_name", "#")
+    item = lambda k, t, x: F.struct(F.lit(k).alias("seq"), t.alias("text"), F.lit(x).alias("x0"), F.lit(x + 11.0).alias("x1"), F.lit(50.0).alias("top"), F.lit(60.0).alias("bottom"))
+    words = F.array(item(0, F.lit("AB"), 10.0), item(1, halves[0], 112.0), item(2, halves[1], 166.0))
+    return table(s, d, "customer").select(F.col("c_custkey").cast("string").alias("doc_id"), F.lit(1).alias("page"), F.explode(words).alias("w")).select("doc_id", "page", "w.*")
+
+
 NAMES = "SELECT CAST(c_custkey AS VARCHAR) AS doc_id, c_custkey, 'AB' || c_name AS t FROM customer"
 
 
@@ -261,15 +269,13 @@ def c4(s, d):
 @add("c5_page_words", f"""WITH c AS ({NAMES}) SELECT doc_id, CAST(count(*) AS BIGINT) AS n_words, bool_or(bad) AS recovered FROM (
   SELECT doc_id, c_custkey % 4 = 0 AS bad, unnest(CASE WHEN c_custkey % 4 = 0 THEN ['w'] ELSE ['w', 'x'] END) FROM c) GROUP BY doc_id""")
 def c5(s, d):
-    chars = char_pages(s, d)
-    words = chars.where("seq in (2, 3)").select("doc_id", "page", "seq", "text", "x0", "x1", "top", "bottom")
-    return P.page_words(words, chars).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_words"), F.bool_or("recovered").alias("recovered"))
+    return P.page_words(word_pages(s, d), char_pages(s, d)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_words"), F.bool_or("recovered").alias("recovered"))
 
 
-@add("c6_page_text", f"WITH c AS ({NAMES}) SELECT doc_id, 1::BIGINT AS page, substr(t, 3) AS full_text FROM c WHERE c_custkey % 4 = 0")
+@add("c6_page_text", f"WITH c AS ({NAMES}) SELECT doc_id, 1::BIGINT AS page, CASE WHEN c_custkey % 4 = 0 THEN substr(t, 3) ELSE replace(substr(t, 3), '#', ' ') END AS full_text FROM c")
 def c6(s, d):
-    w = P.reconstruct_words(P.drop_sidebar(char_pages(s, d).where(F.col("doc_id").cast("long") % 4 == 0)))
-    return P.page_text(P.cluster_rows(w))
+    """Of all pages: scrambled ones are rebuilt, so their name is one word."""
+    return P.page_text(P.cluster_rows(P.page_words(word_pages(s, d), char_pages(s, d))))
 
 
 @add("c7_classify_text_layer", "SELECT source AS doc_id, CASE WHEN sum(length(coalesce(text, ''))) / count(*) >= 3000 THEN 'textual' ELSE 'scanned' END AS kind FROM documents GROUP BY 1")
