@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import fields
 from datetime import datetime
 from functools import reduce
 
@@ -256,12 +257,12 @@ def process_model(s, d):
 
 
 #: Two batches and a deletion: even payslips, then all of them. What is stored well is skipped, what needed review is replaced.
-BATCHES = FAULTS + f""", g AS (SELECT *, doc_id || '.pdf' AS filename, cf = '' AS exempt, cf || '|' || nat || '|' || layout || '|' || mese || '|' || anno AS lk FROM st),
+TWO = FAULTS + """, g AS (SELECT *, doc_id || '.pdf' AS filename, cf = '' AS exempt, cf || '|' || nat || '|' || layout || '|' || mese || '|' || anno AS lk FROM st),
 one AS (SELECT *, exempt OR row_number() OVER (PARTITION BY lk ORDER BY filename) = 1 AS stored FROM g WHERE k % 2 = 0),
 good AS (SELECT * FROM one WHERE stored AND status <> 'NEEDS_REVIEW'),
 two AS (SELECT *, exempt OR (lk NOT IN (SELECT lk FROM good) AND row_number() OVER (PARTITION BY lk ORDER BY filename) = 1) AS stored FROM g WHERE doc_id NOT IN (SELECT doc_id FROM good)),
-kept AS (SELECT '0001' AS batch, * FROM good UNION ALL SELECT '0002', * FROM two WHERE stored),
-f AS MATERIALIZED (SELECT * FROM kept WHERE filename <> (SELECT min(filename) FROM kept)),
+kept AS (SELECT '0001' AS batch, * FROM good UNION ALL SELECT '0002', * FROM two WHERE stored)"""
+BATCHES = TWO + f""", f AS MATERIALIZED (SELECT * FROM kept WHERE filename <> (SELECT min(filename) FROM kept)),
 leave AS (SELECT doc_id, count(*) AS n FROM ({" UNION ALL ".join(f"SELECT doc_id FROM ({BLOCKS[n]})" for n in ("g7_leave_z", "g7_leave_c", "g7_leave_s"))}) GROUP BY doc_id),
 rows AS (SELECT doc_id, batch, unnest(['payroll_document', 'pay_line', 'tax', 'tfr', 'leave_balance', 'payroll_totals', 'anomaly', 'raw_extraction', 'audit_event']) AS "table",
   unnest([1, n_lines + CASE WHEN layout > 0 THEN 1 ELSE 0 END, 1, 1, coalesce(leave.n, 0), 1, n_anomalies, 1, 1]) AS n, unnest([NULL, earn, NULL, NULL, NULL, net, NULL, NULL, n_anomalies]) AS num FROM f LEFT JOIN leave USING (doc_id))
@@ -272,16 +273,23 @@ UNION ALL SELECT 'error_record', doc_id, '0001', 1, NULL, 'IntegrityError' FROM
 UNION ALL SELECT 'employee', cf, min(batch), 1, NULL, NULL FROM (SELECT cf, '0001' AS batch FROM one WHERE stored UNION ALL SELECT cf, '0002' FROM two WHERE stored) WHERE cf <> '' GROUP BY cf"""
 
 
-@add("p3_p13_stored_batches", BATCHES)
-def p3_p13(s, d):
-    """Two runs of the job against tables on storage, then the deletion of the first document by name: what all nine tables that
-    depend on documents hold at the end, the employees, and each run's outcomes and errors."""
+def two_batches(s, d) -> Tables:
+    """Tables on storage after two runs of the job: even payslips, then all."""
     p = parsed(s, d)
     found = stored(process.anomalies(p))
+    p = process.Parsed(*[stored(getattr(p, f.name), key="doc_id") for f in fields(p)])
     tables = Tables(s, new_folder(s))
     even = F.col("doc_id").cast("long") % 2 == 0
     jobs.ingest(tables, p.where(even), found.where(even), "0001", "2024-01-01")
     jobs.ingest(tables, p, found, "0002", "2024-02-01")
+    return tables
+
+
+@add("p3_p13_stored_batches", BATCHES)
+def p3_p13(s, d):
+    """Two runs of the job against tables on storage, then the deletion of the first document by name: what all nine tables that
+    depend on documents hold at the end, the employees, and each run's outcomes and errors."""
+    tables = two_batches(s, d)
     first = tables.read("payroll_document").agg(F.min("original_filename")).first()[0]
     jobs.delete(tables, "0003", filename=first)
     names = tables.read("payroll_document").select(F.col("id").alias("document_id"), F.substring_index("original_filename", ".", 1).alias("key"))
@@ -297,6 +305,31 @@ def p3_p13(s, d):
     return reduce(DataFrame.unionByName, parts)
 
 
+REPORTS = TWO + """, o AS (SELECT doc_id, 'SKIPPED' AS status FROM good UNION ALL SELECT doc_id, CASE WHEN stored THEN status ELSE 'FAILED' END FROM two),
+last AS (SELECT * FROM kept)
+SELECT 'coverage' AS report, CAST(anno AS VARCHAR) AS key, 'all' AS txt, count(*) AS n FROM last GROUP BY anno UNION ALL SELECT 'coverage', CAST(anno AS VARCHAR), 'loaded', count(*) FILTER (WHERE status = 'PROCESSED') FROM last GROUP BY anno
+UNION ALL SELECT 'problems', filename, status, CAST(n_anomalies AS BIGINT) FROM last WHERE status <> 'PROCESSED'
+UNION ALL SELECT 'summary', k, NULL, n FROM (SELECT unnest(['total', 'processed', 'with_anomalies', 'needs_review', 'failed', 'skipped']) AS k, unnest([count(*), count(*) FILTER (status = 'PROCESSED'), count(*) FILTER (status = 'PROCESSED_WITH_ANOMALIES'), count(*) FILTER (status = 'NEEDS_REVIEW'), count(*) FILTER (status = 'FAILED'), count(*) FILTER (status = 'SKIPPED')]) AS n FROM o)
+UNION ALL SELECT 'not_ok', filename, status, NULL FROM last WHERE status = 'NEEDS_REVIEW'"""
+
+
+@add("r1_r9_stored_reports", REPORTS)
+def r1_r9(s, d):
+    """Reports over the tables that two runs left on storage: coverage, problems with their number of anomalies, the second run's
+    summary with skipped and failed files, and the documents that are not in order."""
+    tables = two_batches(s, d)
+    years, last = jobs.check_years(tables), tables.read("outcome", batches=["0002"])
+    row = lambda df, name, key, txt, n: df.select(F.lit(name).alias("report"), key.cast("string").alias("key"), txt.cast("string").alias("txt"), n.cast("long").alias("n"))
+    none, cover = F.lit(None), years["coverage"]
+    summed = R.run_summary(last).select(F.explode(F.create_map(*[x for c in ("total", "processed", "with_anomalies", "needs_review", "failed", "skipped") for x in (F.lit(c), F.col(c).cast("long"))])))
+    problems = years["problems"].select("filename", "status", "anomalie").unionByName(years["without_year"].select("filename", "status", "anomalie"))
+    parts = [
+        row(cover, "coverage", F.col("anno"), F.lit("all"), F.col("totale")), row(cover, "coverage", F.col("anno"), F.lit("loaded"), F.col("caricati")), row(problems, "problems", F.col("filename"), F.col("status"), F.size("anomalie")),
+        row(summed, "summary", F.col("key"), none, F.col("value")), row(R.not_ok(tables.read("payroll_document")), "not_ok", F.col("original_filename"), F.col("status"), none),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Store: documents as files, their hash the key
 
 
