@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wagebook.llm import bpe, exact, minhash, mixing, multiset, quality, sharding, toxicity, urls, warc
-from wagebook.llm.common import scratch
+from wagebook.llm.common import first_by_hash, scratch
 
 TABLES = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -349,6 +349,40 @@ def test_multiset_parts_are_even(spark):
     assert len(sizes) == 16 and max(sizes) < 3 * 4000 / 16
 
 
+def test_multiset_ids_at_the_ends_of_long(spark):
+    ids = [-(2**63), -(2**63) + 1, -1, 0, 1, 2**63 - 2, 2**63 - 1]
+    df = spark.createDataFrame([(i, f"text {k} {'ab' * k}") for k, i in enumerate(ids)] + [(None, "no id")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in multiset.query(spark, df).collect()}
+    texts = [f"text {k} {'ab' * k}" for k in range(len(ids))]
+    order = list(zip(ids, texts))[::-1] + [(None, "no id")]
+    for k, (i, t) in enumerate(order):
+        nxt = order[(k + 1) % len(order)][1]
+        half = len(t) // 2
+        assert got[i]["edited_sha256"] == hashlib.sha256((t[: len(t) - half] + nxt[:half]).encode()).hexdigest()
+
+
+def test_multiset_parts_where_all_rows_repeat(spark):
+    df = spark.range(40_000).selectExpr("id % 200 as doc_id", "concat('t', id % 200) as text")
+    cuts = multiset.cut_rows(df, 8)
+    assert len(cuts) == 8 and max(b[1] - a[1] for a, b in zip(cuts, cuts[1:])) < 80
+
+
+@pytest.mark.parametrize("copies", [1, 300])
+def test_first_by_hash_is_exact(spark, copies):
+    h = F.xxhash64(F.lit("x"), "id")
+    ids = spark.range(2000 * copies).select((F.col("id") % 2000).alias("id"))
+    want = [r["id"] for r in ids.distinct().orderBy(h, "id").limit(50).collect()]
+    assert [r["id"] for r in first_by_hash(ids, h, 50).collect()] == want
+    assert first_by_hash(ids, h, 5000).count() == 2000
+    assert first_by_hash(ids.where("false"), h, 50).count() == 0
+
+
+def test_samples_are_not_ordered_whole(spark):
+    """Rows over the hash's bound go before the sort."""
+    plan = first_by_hash(spark.range(100_000), F.xxhash64("id"), 50)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter (xxhash64" in plan and plan.index("Sort") < plan.index("Filter (xxhash64")
+
+
 def test_multiset_is_homomorphic():
     a, b = "one line\nshort\n\nand a third one", "more of it\nx"
     fa, fb = multiset.fingerprint(a), multiset.fingerprint(b)

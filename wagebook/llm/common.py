@@ -77,6 +77,26 @@ def by_small(rows: DataFrame, small: DataFrame, key: list[str], on: Column, salt
     return salted(rows, on, salts).join(spread, [*key, "salt"], how).drop("salt")
 
 
+def hashed_under(h: Column, share: float) -> Column:
+    """Whether a 64-bit hash lies in the lowest share of its range."""
+    return F.lit(True) if share >= 1 else h <= F.lit(int(-(2**63) + share * 2**64))
+
+
+def first_by_hash(rows: DataFrame, h: Column, k: int) -> DataFrame:
+    """The k distinct rows that come first by h, a 64-bit hash of them (ties by columns); all where there are fewer.
+
+    Rows are counted first. Only those whose hash is under a bound that leaves somewhat more than k are ordered, so what meets
+    in one task does not grow with the input; where repeats leave fewer than k, the bound is raised.
+    """
+    n = rows.count()
+    share = 1.0 if n <= 2 * k else (1.2 * k + 100) / n
+    while True:
+        near = rows.where(hashed_under(h, share)).distinct()
+        if share >= 1 or near.count() >= k:
+            return near.orderBy(h, *[F.col(f"`{c}`") for c in rows.columns]).limit(k)
+        share *= 4
+
+
 def running_starts(parts: DataFrame, key: str, part: str, n: str, start: str, block: int = 64) -> DataFrame:
     """parts (key, part, n; one row each): key, part, and start, the sum of n over the key's smaller parts.
 

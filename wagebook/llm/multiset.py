@@ -17,9 +17,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wagebook.llm.common import hashed_under
+
 HASH_LANES, SKETCH_LANES, RUN = 128, 128, 6
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 2**64) for k in range(RUN)], dtype=np.uint64)
 
@@ -90,19 +92,31 @@ def written(v: np.ndarray) -> str:
     return base64.b64encode(v[:HASH_LANES].astype("<u2").tobytes() + v[HASH_LANES:].astype("<u4").tobytes()).decode()
 
 
+def _place() -> list[Column]:
+    """null, at, h of a document (doc_id, text): at falls as the id rises, for every long."""
+    at = F.coalesce(F.bitwise_not(F.col("doc_id").cast("long")), F.lit(0)).cast("long")
+    return [F.col("doc_id").isNull().cast("int").alias("null"), at.alias("at"), F.xxhash64("text").alias("h")]
+
+
 def cut_rows(docs: DataFrame, parts: int, draws: int = 32) -> list[tuple[int, int, int]]:
     """At most `parts` places in the order of dealt_by_id, the very first among them, at about even distances.
 
-    They are order statistics of parts * draws rows that hashes of id and text choose, so outlying ids or very many rows
-    of one id do not make the parts uneven. The driver holds that many rows of three numbers.
+    They are order statistics of about parts * draws rows that hashes of id and text choose, so outlying ids or very many
+    rows of one id do not make the parts uneven. The driver holds that many rows of three numbers: rows are counted in the
+    pass that finds the first, and the hash's bound follows from their number, so no task orders what grows.
     """
-    null, at = F.col("doc_id").isNull().cast("int").alias("null"), F.coalesce(-F.col("doc_id"), F.lit(0)).cast("long").alias("at")
-    places = docs.select(null, at, F.xxhash64("text").alias("h"))
-    first = places.agg(F.min(F.struct("null", "at", "h")).alias("x")).first()["x"]
+    places = docs.select(*_place())
+    seen = places.agg(F.min(F.struct("null", "at", "h")).alias("first"), F.count(F.lit(1)).alias("n")).first()
+    first = seen["first"]
     if first is None:
         return []
-    drawn = places.orderBy(F.xxhash64(F.lit("cut"), "null", "at", "h"), "null", "at", "h").limit(parts * draws).distinct().collect()
-    drawn = sorted({tuple(r) for r in drawn})
+    share = parts * draws / seen["n"]
+    while True:
+        near = hashed_under(F.xxhash64(F.lit("cut"), "null", "at", "h"), share)
+        drawn = sorted(tuple(r) for r in places.where(near).distinct().collect())
+        if share >= 1 or 2 * len(drawn) >= parts * draws:  # fewer where rows repeat very often
+            break
+        share *= 4
     return sorted({tuple(first), *(drawn[len(drawn) * k // parts] for k in range(1, parts))})
 
 
@@ -124,7 +138,7 @@ def dealt_by_id(docs: DataFrame, parts: int) -> DataFrame:
             host.append((k - 1) % len(cuts) if cuts[k] == key else None)
         return pd.DataFrame({"part": pd.Series(part, dtype="int32"), "host": pd.Series(host, dtype="Int32")})
 
-    rows = docs.select("doc_id", "text", F.col("doc_id").isNull().cast("int").alias("null"), F.coalesce(-F.col("doc_id"), F.lit(0)).cast("long").alias("at"), F.xxhash64("text").alias("h"))
+    rows = docs.select("doc_id", "text", *_place())
     rows = rows.withColumn("p", place("null", "at", "h"))
     places = F.array(F.struct("p.part", F.lit(0).alias("guest")), F.struct(F.col("p.host").alias("part"), F.lit(1).alias("guest")))
     rows = rows.withColumn("x", F.explode(F.filter(places, lambda x: x["part"].isNotNull())))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wagebook.llm.common import by_small, written
+from wagebook.llm.common import by_small, first_by_hash, written
 
 FEATURES = 16
 SCALE = 1_000_000
@@ -97,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> Network |
     """
     order = F.xxhash64(F.lit("fit"), "doc_id")
     known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("y"))
-    known = known.orderBy(order, "doc_id").limit(max_rows)
+    known = first_by_hash(known, order, max_rows)
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "y", F.xxhash64("text").alias("h"), _shapes("text").alias("x"))
     rows = rows.groupBy("doc_id", "y").agg(F.min_by("x", "h").alias("x")).select("x", "y", order.alias("o"), "doc_id").collect()
     if not rows:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagebook.llm.common import written
+from wagebook.llm.common import first_by_hash, written
 
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&+-_/\\~^=@`"
 
@@ -116,9 +116,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 4000, max_unlabe
     prior = min(0.9, max(0.001, counts["k"] / counts["n"]))
     order = F.xxhash64(F.lit("fit"), "doc_id")
     texts = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
-    sure = known.where("toxic = 1").orderBy(order, "doc_id").limit(max_positive).select("doc_id", F.lit(True).alias("positive"))
-    rest = texts.select("doc_id").where("doc_id is not null").distinct()
-    rest = rest.orderBy(order, "doc_id").limit(max_unlabelled).select("doc_id", F.lit(False).alias("positive"))
+    sure = first_by_hash(known.where("toxic = 1").select("doc_id"), order, max_positive).select("doc_id", F.lit(True).alias("positive"))
+    rest = first_by_hash(texts.select("doc_id").where("doc_id is not null"), order, max_unlabelled).select("doc_id", F.lit(False).alias("positive"))
     # The ids are of bounded number, so they are broadcast; the sample's texts are written once.
     sample = texts.join(F.broadcast(sure.unionByName(rest)), "doc_id").select("doc_id", "positive", "text", F.xxhash64("text").alias("h"))
     sample = written(sample.groupBy("doc_id", "positive").agg(F.min_by("text", "h").alias("text")))
