@@ -19,6 +19,7 @@ from wagebook.plans import jobs, process, queries_documents
 from wagebook.plans.common import WITH, edge, mod97, table
 from wagebook.sources import bundle as B
 from wagebook.sources.files import new_folder, stored
+from wagebook.sources.landing import Landing
 from wagebook.sources.registry import Registry
 from wagebook.sources.tables import DEPENDENT, Tables
 
@@ -565,6 +566,38 @@ def a7(s, d):
     return B.upgrade_schema(old, "pay_line").select(F.col("document_id").alias("doc_id"), F.col("codice_causale").cast("bigint").alias("employee_no"), "note", "competenza")
 
 
+#: Version of the bundle that each document comes from: by its number, every twelfth one from the last.
+MIXED = """, v AS (SELECT *, CASE WHEN k % 12 = 0 THEN 3 ELSE k % 4 END AS v FROM d)
+SELECT doc_id, cf AS codice_fiscale, CAST(count(*) FILTER (v < 3 OR k % 12 <> 0 OR l.flag <> 'R') AS BIGINT) AS lines, CAST(count(*) FILTER (v >= 1 AND (k % 12 <> 0 OR l.flag <> 'R')) AS BIGINT) AS notes,
+  earn AS imponibile_irpef, CASE WHEN v >= 2 THEN earn END AS imponibile_fiscale_annuo, CASE WHEN v >= 3 THEN deduct END AS imponibile_previdenziale_non_arrotondato, CASE WHEN v >= 2 THEN deduct END AS retribuzione_utile_tfr_annua
+FROM v JOIN (SELECT doc_id, flag FROM l) l USING (doc_id) GROUP BY ALL"""
+
+
+@add("a7_mixed_versions", MIXED)
+def a7_mixed(s, d):
+    """Bundles of three old versions and of the current one in one import. Every twelfth document is in the oldest and in the
+    newest bundle, in the newest without its deductions; it comes whole from there."""
+    docs = stored(facts(s, d).select("*", F.col("filename").alias("original_filename"), F.col("template").alias("template_name"), F.lit("PROCESSED").alias("status"), F.lit(False).alias("source_used_ocr")))
+    lines = stored(K.render.slip_lines(s, d).select("doc_id", "n", "flag", F.col("amount").alias("competenza"), F.lit("seen").alias("note"), *[F.lit("x").alias(c) for c in ("descrizione", "categoria", "raw_text")], F.lit(True).alias("is_recognized")))
+    folder, paths = new_folder(s), []
+    for v, version in enumerate(("0.1.0", "0.2.0", "0.3.0", "1.0.0")):
+        twelfth = F.col("k") % 12 == 0
+        mine = docs.where((F.col("k") % 4 == v) | (twelfth if v == 3 else F.lit(False)))
+        kept = lines if v < 3 else lines.join(docs.where(twelfth).select("doc_id", F.lit(True).alias("twelfth")), "doc_id", "left").where("twelfth is null or flag <> 'R'").drop("twelfth")
+        sums = {"tax": {"imponibile_irpef": "totale_competenze", "imponibile_fiscale_annuo": "totale_competenze", "imponibile_previdenziale_non_arrotondato": "totale_trattenute"}, "tfr": {"retribuzione_utile_tfr_annua": "totale_trattenute"}}
+        tables = {"employee": S.upsert_employee(empty(s, "employee"), mine), "payroll_document": B.upgrade_schema(mine, "payroll_document"), "pay_line": S.child_table(kept.drop("flag"), mine, "pay_line")}
+        tables |= {t: S.child_table(mine.select("doc_id", *[F.col(x).alias(c) for c, x in of.items()]), mine, t) for t, of in sums.items()}
+        paths.append(B.export_bundle(tables, folder, AT.replace(minute=v), version=version))
+    t = B.import_bundles(s, paths)
+    per = t["pay_line"].groupBy("document_id").agg(F.count(F.lit(1)).alias("lines"), F.count("note").alias("notes"))
+    out = t["payroll_document"].select(F.col("id").alias("document_id"), "employee_id", F.substring_index("original_filename", ".", 1).alias("doc_id")).join(per, "document_id", "left")
+    for name in ("tax", "tfr"):
+        out = out.join(t[name].drop("id"), "document_id", "left")
+    out = out.join(t["employee"].select(F.col("id").alias("employee_id"), "codice_fiscale"), "employee_id", "left")
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("lines", "notes")]
+    return out.select("doc_id", F.coalesce("codice_fiscale", F.lit("")).alias("codice_fiscale"), *zero, "imponibile_irpef", "imponibile_fiscale_annuo", "imponibile_previdenziale_non_arrotondato", "retribuzione_utile_tfr_annua")
+
+
 @add("a8_destination_path", FAULTS + "SELECT doc_id, CASE WHEN k % 29 = 0 THEN 'processed/non_riconosciuti/' ELSE 'processed/' || anno || '/' || lpad(CAST(mese AS VARCHAR), 2, '0') || '/' END || substr(sha256(doc_id), 1, 8) || '_' || doc_id || '.pdf' AS destination FROM d WHERE k % 53 <> 0 UNION ALL SELECT doc_id, 'error/' || doc_id || '.pdf' FROM d WHERE k % 53 = 0")
 def a8(s, d):
     x = slips(s, d).withColumn("status", F.when(F.col("k") % 53 == 0, "FAILED").otherwise("PROCESSED"))
@@ -621,6 +654,34 @@ def r3(s, d):
     return R.without_year(docs, period_of(g), doc_anomalies(g)).withColumn("anomalie", F.array_join("anomalie", " | "))
 
 
+LANDED = ST + f""", p AS (SELECT doc_id || '.pdf' AS filename, CASE WHEN k % 29 <> 0 THEN CAST(anno AS BIGINT) END AS anno, mese, status, doc_id, k, {LIST} FROM g)
+SELECT 'coverage' AS report, anno, 'totale' AS key, NULL AS txt, count(*) AS n FROM p WHERE anno IS NOT NULL GROUP BY anno
+UNION ALL SELECT 'coverage', anno, 'caricati', NULL, count(*) FILTER (status = 'PROCESSED') FROM p WHERE anno IS NOT NULL GROUP BY anno
+UNION ALL SELECT CASE WHEN anno IS NULL THEN 'without_year' ELSE 'problem' END, anno, filename, status || ': ' || anomalie, NULL FROM p WHERE status <> 'PROCESSED'
+UNION ALL SELECT 'document', anno, filename, CASE WHEN status = 'FAILED' THEN 'error/' || filename WHEN anno IS NULL THEN 'processed/non_riconosciuti/' || substr(sha256(doc_id), 1, 8) || '_' || filename ELSE 'processed/' || anno || '/' || lpad(CAST(mese AS VARCHAR), 2, '0') || '/' || substr(sha256(doc_id), 1, 8) || '_' || filename END, CASE WHEN anno IS NOT NULL THEN CAST(mese AS BIGINT) END FROM p
+UNION ALL SELECT 'error', NULL, filename, 'ValueError: lost', NULL FROM p WHERE status = 'FAILED'"""
+
+
+@add("r1_r3_landed", LANDED)
+def r1_r3_landed(s, d):
+    """Documents are landed by year and month and errors as files; one year is landed again. Reports read what landed."""
+    g = graded(s, d)
+    docs = stored(g.select("id", "sha256", "period_id", "status", F.col("filename").alias("original_filename"), F.col("template").alias("template_name")))
+    periods, notes, landing = stored(period_of(g)), stored(doc_anomalies(g)), Landing(s, new_folder(s))
+    landing.land(docs, periods, notes)
+    landing.land(docs, periods, notes, [periods.agg(F.min("anno")).first()[0], None])
+    landing.land_errors(S.error_records(docs.where("status = 'FAILED'").select(F.col("original_filename").alias("filename"), F.lit("ValueError").alias("error_type"), F.lit("lost").alias("message")), "run").withColumn("batch", F.lit("0001")))
+    none, cover = F.lit(None), landing.coverage()
+    row = lambda df, name, anno, key, txt, n: df.select(F.lit(name).alias("report"), anno.cast("long").alias("anno"), key.alias("key"), txt.cast("string").alias("txt"), n.cast("long").alias("n"))
+    told = F.concat("status", F.lit(": "), F.array_join("anomalie", " | "))
+    parts = [
+        row(cover, "coverage", F.col("anno"), F.lit("totale"), none, F.col("totale")), row(cover, "coverage", F.col("anno"), F.lit("caricati"), none, F.col("caricati")), row(landing.problems(), "problem", F.col("anno"), F.col("filename"), told, none),
+        row(landing.without_year(), "without_year", none, F.col("filename"), told, none), row(landing.documents(), "document", F.col("anno"), F.col("filename"), F.col("destination"), F.col("mese")),
+        row(landing.errors(), "error", none, F.col("filename"), F.concat("error_type", F.lit(": "), F.col("message")), none),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @add("r4_status_counts", "SELECT event_type AS status, count(*) AS n FROM events GROUP BY 1", "")
 def r4(s, d):
     return R.status_counts(table(s, d, "events").withColumnRenamed("event_type", "status"))

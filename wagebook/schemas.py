@@ -53,5 +53,9 @@ def columns(table: str) -> list[tuple[str, str, bool]]:
 
 def ddl(table: str, as_text: bool = False) -> str:
     """Schema for createDataFrame or readers. as_text: decimals, dates and timestamps as strings, as bundles hold them."""
+    return ddl_of(columns(table), as_text)
+
+
+def ddl_of(cols: list[tuple[str, str, bool]], as_text: bool = False) -> str:
     kinds = {"date": "string", "timestamp": "string", _DEC: "string"} if as_text else {}
-    return ", ".join(f"{n} {kinds.get(k, k)}" for n, k, _ in columns(table))
+    return ", ".join(f"{n} {kinds.get(k, k)}" for n, k, _ in cols)
