@@ -40,14 +40,19 @@ def classify(description: Column) -> Column:
     return out
 
 
-def column_of(x0: Column, zones: str) -> Column:
-    """Zone name of x0; left of all zones the layout's rest, or null."""
-    out = F.lit(REST.get(zones)).cast("string")
-    for least, name in reversed(ZONES[zones]):
+def placed(x0: Column, zones: list[tuple[float, str]], rest: str | None = None) -> Column:
+    """Name of the first of zones (least x0, name; from the right) that x0 lies in; left of all zones rest."""
+    out = F.lit(rest).cast("string")
+    for least, name in reversed(zones):
         out = F.when(x0 >= least, name).otherwise(out)
     return out
 
 
+def column_of(x0: Column, zones: str) -> Column:
+    """Zone name of x0; left of all zones the layout's rest, or null."""
+    return placed(x0, ZONES[zones], REST.get(zones))
+
+
 def in_zone(words: Column, zones: str, name: str) -> Column:
     return F.filter(words, lambda w: column_of(w["x0"], zones) == name)
 

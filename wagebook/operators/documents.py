@@ -46,7 +46,7 @@ class TemplateProfile:
     """A layout: its name, parser version, and a condition over rows of the first page, any(...) of which recognises it.
 
     every: further conditions, each of which must hold for some row. mapping: rows of its documents -> tables by name, any
-    of header, period, lines, totals, tax, tfr, leave and unmapped, each with doc_id and fields as the operators of the
+    of header, period, lines, totals, tax, tfr, leave, unmapped and failed, each with doc_id and fields as the operators of the
     known layouts give them; what a table or mapping leaves out is null. mapped_lines and mapped_totals help with that.
     """
 

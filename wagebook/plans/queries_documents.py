@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from wagebook.functions import columns as C
 from wagebook.functions import text as X
 from wagebook.operators import documents as D
+from wagebook.operators import layouts as L
 from wagebook.plans import common as K
 from wagebook.plans.common import WITH, edge, table
+from wagebook.sources.files import stored
 
 QUERIES: dict[str, tuple] = {}
 #: SQL of each query without the common tables that it stands on.
@@ -313,3 +315,29 @@ def g9s(s, d):
 @add("g10_amount_below_label", "SELECT doc_id, net AS amount FROM d WHERE layout = 2 AND net IS NOT NULL")
 def g10(s, d):
     return D.amount_below_label(K.words(s, d, 2), "NETTO")
+
+
+DATA_TAX = ["imponibile_irpef", "irpef_lorda", "detrazioni_lav_dip", "ritenute_irpef", "acconto_addizionale_comunale", "addizionale_comunale", "addizionale_regionale"]
+DATA_PARTS = ["e2_header_c", "e5_period_c", "g2_tax_c", "g3_imponibile_previdenziale", "g4_imponibile_fiscale_annuo", "g6_tfr_c", "g9_totals_c"]
+
+
+@add("u1_layout_data", "SELECT *, 'c' AS template, '1.0.0' AS parser_version FROM " + " JOIN ".join((f"({BARE[p]})" if p != "e2_header_c" else f"(SELECT * REPLACE (CASE WHEN codice_fiscale IN (SELECT cf_printed FROM d WHERE k % 11 = 0) THEN '' ELSE codice_fiscale END AS codice_fiscale) FROM ({BARE[p]}))") + (" USING (doc_id)" if i else "") for i, p in enumerate(DATA_PARTS)))
+def u1_data(s, d):
+    """Layout c from its rules as JSON, through the job: what its one aggregate finds."""
+    from wagebook.plans import process
+
+    p = process.parse_words(K.words(s, d, 1), registry=L.beside_known([L.profile(L.shipped("c"))]))
+    out = p.docs.select("doc_id", "template", "parser_version", "codice_azienda", "ragione_sociale", "matricola", "cognome_nome", "codice_fiscale", "hire_text", "mese", "anno", "tipo", "label")
+    out = out.join(p.tax.select("doc_id", *DATA_TAX, "imponibile_previdenziale_non_arrotondato", "imponibile_fiscale_annuo"), "doc_id")
+    return out.join(p.tfr.select("doc_id", "retribuzione_utile_tfr", "quota_anno", "anticipi"), "doc_id").join(p.totals.select("doc_id", "totale_competenze", "totale_trattenute", "netto_mese", "iban"), "doc_id")
+
+
+@add("u1_layout_data_lines", BARE["f2_pay_lines_c"] + " UNION ALL SELECT doc_id, NULL, 'INPS Contributo FAP', 'contributo', earn, NULL, NULL, 9.49::DOUBLE, deduct, NULL FROM d WHERE layout = 1")
+def u1_data_lines(s, d):
+    rule = L.shipped("c")["lines"]
+    return L.pay_lines(rule, stored(L.lines(rule, rows(s, d, 1)), key="doc_id")).select(*FIELDS)
+
+
+@add("u1_layout_data_leave", BARE["g7_leave_c"])
+def u1_data_leave(s, d):
+    return L.leave(L.shipped("c")["leave"], rows(s, d, 1)).select(*LEAVE_COLS)
