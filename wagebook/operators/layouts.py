@@ -245,9 +245,7 @@ def leave(rule: dict, rows: DataFrame) -> DataFrame:
     """Leave of documents: of the first row that fits begins and has any of the named rows among the next `within`, the values of
     the first row of each name, by [name, place]. An item with none of its values is left out; one beside another is there
     only if that one is and its residue is not zero. Without the first of the named rows there is none."""
-    label = F.upper(_word(0))
-    tail = F.collect_list(F.struct("doc_row", label.alias("k"), F.transform(F.slice("words", F.lit(2), F.size("words")), lambda w: w["amt"]).alias("v"))).over(D.in_doc().rowsBetween(1, rule["within"]))
-    r = rows.withColumn("tail", F.filter(tail, lambda x: x["k"].isin(rule["rows"]))).where(condition(rule["begins"]) & (F.size("tail") > 0))
+    r = D.tails(rows, condition(rule["begins"]), rule["rows"], rule["within"])
     r = r.groupBy("doc_id").agg(F.min_by("tail", "doc_row").alias("x"))
     of = lambda k: F.get(F.filter("x", lambda y: y["k"] == k), F.lit(0))["v"]
     r = r.select("doc_id", *[of(k).alias(f"row_{i}") for i, k in enumerate(rule["rows"])]).where("row_0 is not null")
