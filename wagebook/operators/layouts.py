@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from wagebook.functions import columns as C
 from wagebook.functions import ids as I
 from wagebook.functions import text as X
+from wagebook.functions.spans import Span
 from wagebook.operators import documents as D
 from wagebook.sources.files import stored
 
@@ -209,6 +210,22 @@ def fields(layout: dict, rows: DataFrame) -> DataFrame:
     return r.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_rows"), *picks).select("doc_id", *[c.alias(k) for k, c in out.items()])
 
 
+def _kind(rule: dict) -> list[list[str]] | None:
+    """A condition of labels alone as a kind of rows (see spans); None for any other."""
+    if set(rule) == {"label"}:
+        return [_many(rule["label"])] if not any(t[:1] in ("", "^", "!") for t in _many(rule["label"])) else None
+    if set(rule) == {"any"}:
+        kinds = [_kind(x) for x in rule["any"]]
+        return [labels for k in kinds for labels in k] if kinds and None not in kinds else None
+    return None
+
+
+def span(rule: dict) -> Span | None:
+    """What lies near the rows of `lines`, where its begins and ends are of labels alone."""
+    begins, ends = _kind(rule["begins"]), _kind(rule["ends"])
+    return Span(begins, ends) if begins and ends else None
+
+
 def lines(rule: dict, rows: DataFrame) -> DataFrame:
     """Rows between begins and ends with is_line, a line's fields, and mapped.
 
