@@ -287,7 +287,8 @@ def tables(layout: dict, rows: DataFrame) -> dict[str, DataFrame]:
         for b in told:
             out[b] = found.where(F.col(b).isNotNull()).select("doc_id", f"{b}.*")
     if "lines" in layout:
-        parsed = stored(lines(layout["lines"], rows), key="doc_id")
+        near = [f"near_{t}" for t, s in D.SECTIONS.items() if s == span(layout["lines"]) and f"near_{t}" in rows.columns]
+        parsed = stored(lines(layout["lines"], rows.where(near[0]) if near else rows), key="doc_id")
         out["lines"] = pay_lines(layout["lines"], parsed)
         out["unmapped"] = parsed.where("not is_line and not mapped").select("doc_id", "doc_row", "text")
         out["failed"] = D.out_of_range(parsed, rows)
